@@ -1,0 +1,5 @@
+"""Intentionally empty: the pipeline is batch only.
+
+Late data is handled by re-running the months a batch touched
+(`operators.bronze.months_touched`), not by watermarks or state.
+"""
