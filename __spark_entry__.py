@@ -30,7 +30,7 @@ from claimstrata.operators.silver import (
     mask_pii,
     standardize_codes,
 )
-from claimstrata.operators.sinks import append, materialize, replace_month
+from claimstrata.operators.sinks import append, balanced, materialize, replace_month
 from claimstrata.plans.bronze import bronze_rows, reference_rows, run_bronze
 from claimstrata.plans.gold import run_gold, star_schema
 from claimstrata.plans.layers import Layers
@@ -80,21 +80,27 @@ def _fresh_layers(spark: SparkSession) -> Layers:
     return Layers(f"claims_{uuid.uuid4().hex[:12]}", workspace(configure(spark), "layers"))
 
 
-def _stored_bronze(spark: SparkSession, sf_dir: str) -> Layers:
-    layers = _fresh_layers(spark)
-    run_bronze(_claims(spark, sf_dir), RUN_TS, layers, RUN_TS, nulls="keep")
-    return layers
+def _append_bronze(claims: DataFrame, layers: Layers) -> None:
+    """Store audited claims as they are, without deduplication."""
+    audited = balanced(add_audit_columns(claims, batch_id(RUN_TS), RUN_TS), BRONZE_PARTITIONS)
+    append(audited, layers.table("bronze"), BRONZE_PARTITIONS, layers.path("bronze"))
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str) -> Layers:
     """Silver of the undeduplicated claims, whole history, as a table."""
     layers = _fresh_layers(spark)
-    audited = add_audit_columns(_claims(spark, sf_dir), batch_id(RUN_TS), RUN_TS)
-    append(audited, layers.table("bronze"), BRONZE_PARTITIONS, layers.path("bronze"))
+    _append_bronze(_claims(spark, sf_dir), layers)
     run_silver(spark, layers, options=OPTIONS)
     return layers
 
 
+def _silver_snapshot(spark: SparkSession, sf_dir: str) -> Layers:
+    """Silver rows written once, for queries that read them several times."""
+    layers = _fresh_layers(spark)
+    materialize(_silver(spark, sf_dir), layers.table("silver"), "table", layers.path("silver"))
+    return layers
+
+
 # --- sources and Bronze -----------------------------------------------------
 
 
@@ -111,7 +117,9 @@ def bronze_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(_stored_bronze(spark, sf_dir).table("bronze")).drop(SOURCE_FILE)
+    layers = _fresh_layers(spark)
+    run_bronze(_claims(spark, sf_dir), RUN_TS, layers, RUN_TS, nulls="keep")
+    return spark.table(layers.table("bronze")).drop(SOURCE_FILE)
 
 
 def bronze_append_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,14 +137,14 @@ def bronze_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     wider = claims.withColumn("network_tier", F.concat(F.lit("TIER_"), F.substring("payer_id", -1, 1)))
     for batch in (claims, wider):
         rows = batch.withColumns({"year": F.year("service_date"), "month": F.month("service_date")})
+        rows = balanced(rows, BRONZE_PARTITIONS)
         append(rows, layers.table("bronze"), BRONZE_PARTITIONS, layers.path("bronze"))
     return spark.table(layers.table("bronze"))
 
 
 def bronze_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _fresh_layers(spark)
-    audited = add_audit_columns(_claims(spark, sf_dir), batch_id(RUN_TS), RUN_TS)
-    append(audited, layers.table("bronze"), BRONZE_PARTITIONS, layers.path("bronze"))
+    _append_bronze(_claims(spark, sf_dir), layers)
     return bronze_month(spark, layers.table("bronze"), YEAR, MONTH).drop(SOURCE_FILE)
 
 
@@ -211,7 +219,8 @@ def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_month_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Bronze month cleaned into an empty Silver table."""
-    layers = _stored_bronze(spark, sf_dir)
+    layers = _fresh_layers(spark)
+    run_bronze(_claims(spark, sf_dir), RUN_TS, layers, RUN_TS, nulls="keep")
     run_silver(spark, layers, YEAR, MONTH, OPTIONS)
     return spark.table(layers.table("silver")).drop(SOURCE_FILE)
 
@@ -283,14 +292,15 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return star_schema(_silver(spark, sf_dir), RUN_TS)
+    silver = spark.table(_silver_snapshot(spark, sf_dir).table("silver"))
+    return star_schema(silver, RUN_TS)
 
 
 def _mart(name: str, build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     """A mart over stored Gold: staging views, then the model, then its table."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        layers = _stored_silver(spark, sf_dir)
+        layers = _silver_snapshot(spark, sf_dir)
         run_gold(spark, layers, run_ts=RUN_TS)
         staged = {
             table: materialize(
@@ -311,7 +321,7 @@ def check_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def check_orphan_keys_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All facts against dimensions that hold one month only."""
-    silver = _silver(spark, sf_dir)
+    silver = spark.table(_silver_snapshot(spark, sf_dir).table("silver"))
     of_month = silver.where((F.col("claim_year") == YEAR) & (F.col("claim_month") == MONTH))
     facts = star_schema(silver, RUN_TS)["fact_claims"]
     return checks.orphan_rows(facts, star_schema(of_month, RUN_TS))

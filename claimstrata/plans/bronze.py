@@ -61,7 +61,9 @@ def run_bronze(
 
     `nulls="reject"` appends NOT NULL violations, whole and unmasked, to the
     Bronze rejects table.  A batch that is run twice is stored twice; Silver
-    absorbs the copies.  `buckets` stores rows hashed on the claim id.
+    absorbs the copies.  `buckets` stores rows hashed on the claim id instead
+    of gathered by partition: more files, but Silver then needs no shuffle to
+    deduplicate a month, however often it is re-run.
     """
     batch = batch_id(execution_time)
     rejected = 0
@@ -70,7 +72,9 @@ def run_bronze(
         rejected = _reject(broken, batch, layers, run_ts)
         nulls = "keep"
     rows = bronze_rows(claims, batch, run_ts=run_ts, nulls=nulls)
-    if not buckets:
+    if buckets:
+        rows = rows.repartition(buckets, "claim_id")
+    else:
         rows = balanced(rows, BRONZE_PARTITIONS)
     loaded = append(
         rows, layers.table("bronze"), BRONZE_PARTITIONS, layers.path("bronze"), buckets
