@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # HotSpot never compiles a method above 8000 bytes; run such a stage as
+    # separate operators instead of interpreting it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _MIB = 1024 * 1024

@@ -1,0 +1,84 @@
+import datetime as dt
+import uuid
+
+import pytest
+from pyspark.sql import SparkSession
+
+from claimstrata.plans.layers import Layers
+from claimstrata.schemas import CLAIMS_SCHEMA, relaxed
+from claimstrata.session import configure
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("claims-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "4g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
+        .config("spark.checkpoint.dir", str(folder / "shared"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield configure(session)
+    session.stop()
+
+
+@pytest.fixture(autouse=True)
+def settings(spark):
+    """Settings a test changed do not leak into the next one."""
+    yield
+    configure(spark)
+
+
+@pytest.fixture
+def layers(tmp_path):
+    return Layers(f"t_{uuid.uuid4().hex[:10]}", str(tmp_path / "layers"))
+
+
+CLEAN = {
+    "claim_id": "CLM1",
+    "member_id": "MBR1",
+    "provider_id": "PRV1",
+    "payer_id": "PAYER_001",
+    "service_date": dt.datetime(2001, 5, 3, 10, 30),
+    "claim_type": "inpatient",
+    "diagnosis_code": "I10",
+    "procedure_code": "99213",
+    "billed_amount": 100.0,
+    "allowed_amount": 80.0,
+    "paid_amount": 60.0,
+    "claim_status": "paid",
+    "denial_reason": None,
+    "place_of_service": "11",
+    "source_system": "SYS",
+    "ingestion_ts": dt.datetime(2001, 5, 4),
+    "batch_id": "b1",
+}
+
+
+@pytest.fixture
+def claims(spark):
+    """A frame of clean claims, each changed by the given fields."""
+
+    def build(*changes):
+        rows = [tuple({**CLEAN, **c}[f.name] for f in CLAIMS_SCHEMA) for c in changes]
+        return spark.createDataFrame(rows, relaxed(CLAIMS_SCHEMA))
+
+    return build
+
+
+def cells(df, *columns):
+    """Rows as a sorted list of tuples."""
+    frame = df.select(*columns) if columns else df
+    return sorted(map(tuple, frame.collect()), key=str)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
