@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimstrata.functions.rules import any_broken, claim_rules
+from claimstrata.operators.bronze import months_touched
 from claimstrata.operators.silver import (
     apply_cdc_dedup,
     enrich,
@@ -113,6 +114,19 @@ def run_silver(
     }
 
 
+def rerun_touched(
+    spark: SparkSession, layers: Layers, batch: str, options: SilverOptions = SilverOptions()
+) -> dict[tuple[int, int], dict[str, Any]]:
+    """Re-run every month that a Bronze batch has claims for, late ones included.
+
+    A daily run cleans its own month only; this is the way to bring late
+    claims into Silver.  The driver sees month numbers, nothing else.
+    """
+    stored = spark.table(layers.table("bronze")).where(F.col("_batch_id") == batch)
+    months = sorted(tuple(row) for row in months_touched(stored).collect())
+    return {(y, m): run_silver(spark, layers, y, m, options) for y, m in months}
+
+
 def _pinned(spark: SparkSession, options: SilverOptions) -> SilverOptions:
     """Fix today's date once, so both writes of a run agree across midnight."""
     if options.as_of is not None:

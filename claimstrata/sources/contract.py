@@ -28,8 +28,9 @@ def validate_schema(df: DataFrame, required: Iterable[str] | None = None) -> boo
 
 
 def conform(df: DataFrame, schema: T.StructType = CLAIMS_SCHEMA) -> DataFrame:
-    """Select and cast to the schema's fields, keeping NULLs.
+    """The schema's fields in order and of its types, keeping NULLs.
 
+    Safe widening (int to double) is applied, any other type is an error.
     Columns outside the schema are kept after it: they widen Bronze later.
     """
     validate_schema(df, required_fields(schema))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +44,11 @@ def read_feed(
         .load(path)
         .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     )
-    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT), raw.where(F.col(CORRUPT).isNotNull())
+    # Readers parse only the columns a query uses, and would miss a bad value
+    # in the others.  Naming every field keeps the split the same for all queries.
+    whole = reduce(add, [F.col(f).isNotNull().cast("int") for f in schema.fieldNames()]) >= 0
+    corrupt = F.col(CORRUPT).isNotNull()
+    return raw.where(~corrupt & whole).drop(CORRUPT), raw.where(corrupt & whole)
 
 
 def write_feed(df: DataFrame, path: str, fmt: str) -> None:

@@ -1,0 +1,83 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from claimstrata.plans.bronze import run_bronze_files
+from claimstrata.session import shuffle_settings, workspace
+from claimstrata.sources.contract import conform
+from claimstrata.sources.files import CORRUPT, SOURCE_FILE, read_feed, write_feed
+from conftest import cells
+
+RUN = dt.datetime(2024, 1, 1)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_values_survive_a_file(spark, claims, tmp_path, fmt):
+    df = claims({"claim_type": " Padded ", "diagnosis_code": None, "billed_amount": 0.1}, {"claim_id": 'a"b,c'})
+    write_feed(df, str(tmp_path / "feed"), fmt)
+    rows, corrupt = read_feed(spark, str(tmp_path / "feed"), fmt)
+    assert cells(rows.drop(SOURCE_FILE)) == cells(df)
+    assert corrupt.count() == 0
+    assert all(r[0].startswith("file:") for r in rows.select(SOURCE_FILE).collect())
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_bad_records_are_set_aside(spark, claims, layers, tmp_path, fmt):
+    feed = tmp_path / "feed"
+    write_feed(claims({}, {"claim_id": "2"}), str(feed), fmt)
+    (part, *_) = sorted(feed.glob(f"*.{fmt}"))
+    text = part.read_text()
+    (feed / f"extra.{fmt}").write_text(text.replace("100.0", "a lot"))
+    rows, corrupt = read_feed(spark, str(feed), fmt)
+    assert rows.count() == 2
+    broken = text.count("100.0")
+    assert corrupt.select(CORRUPT, "claim_id").count() == broken
+    assert len(rows.select("claim_id").collect()) == 2  # pruned reads agree
+    result = run_bronze_files(spark, str(feed), fmt, RUN, layers, RUN)
+    assert (result["records_loaded"], result["records_failed"]) == (2, broken)
+    rejects = spark.table(layers.table("bronze_rejects"))
+    assert all("a lot" in r[0] for r in rejects.select(CORRUPT).collect())
+    sources = {r[0] for r in spark.table(layers.table("bronze")).select(SOURCE_FILE).collect()}
+    assert all(s.startswith("file:") for s in sources)
+
+
+def test_conform_orders_widens_and_keeps_extras(claims):
+    df = claims({}).selectExpr("'x' AS extra", "5 AS billed_amount", "* EXCEPT (billed_amount)")
+    typed = conform(df)
+    assert typed.columns[0] == "claim_id" and typed.columns[-1] == "extra"
+    assert dict(typed.dtypes)["billed_amount"] == "double"
+
+
+def test_conform_refuses_other_types(claims):
+    with pytest.raises(AnalysisException, match="billed_amount"):
+        conform(claims({}).selectExpr("'5' AS billed_amount", "* EXCEPT (billed_amount)"))
+
+
+def test_workspace_is_below_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = workspace(spark, "x"), workspace(spark, "x")
+    assert first.startswith(base) and first != second
+
+
+class _Session:
+    def __init__(self, **values):
+        self.conf = self
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_cluster_without_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace(_Session(**{"spark.master": "yarn"}), "x")
+
+
+def test_local_session_without_shared_folder_gets_one():
+    assert "claimstrata" in workspace(_Session(**{"spark.master": "local[2]"}), "x")
+
+
+def test_shuffle_settings_follow_the_data():
+    assert shuffle_settings(0, cores=8)["spark.sql.shuffle.partitions"] == "8"
+    assert shuffle_settings(100 * 2**40, cores=4000)["spark.sql.shuffle.partitions"] == "204800"

@@ -12,7 +12,13 @@ from claimstrata.operators.silver import (
     standardize_codes,
 )
 from claimstrata.plans.bronze import run_bronze
-from claimstrata.plans.silver import SilverOptions, quarantine_rows, run_silver, silver_rows
+from claimstrata.plans.silver import (
+    SilverOptions,
+    quarantine_rows,
+    rerun_touched,
+    run_silver,
+    silver_rows,
+)
 from conftest import cells
 
 AS_OF = dt.date(2001, 6, 30)
@@ -243,3 +249,12 @@ def test_silver_schema(spark, claims, layers):
     assert {types[c] for c in ("year", "month", "claim_year", "claim_month", "claim_quarter")} == {"int"}
     assert types["is_denied"] == "boolean" and types["discount_rate"] == "double"
     assert {"_ingested_at", "_batch_id", "_silver_processed_at"} <= set(types)
+
+
+def test_late_claims_arrive_when_their_months_are_rerun(spark, claims, layers):
+    march = {"claim_id": "2", "service_date": dt.datetime(2001, 3, 1)}
+    batch = run_bronze(claims({}, march), RUN, layers, RUN)["batch_id"]
+    other = claims({"claim_id": "3", "service_date": dt.datetime(2001, 1, 1)})
+    run_bronze(other, RUN + dt.timedelta(days=1), layers, RUN)
+    assert sorted(rerun_touched(spark, layers, batch, OPTIONS)) == [(2001, 3), (2001, 5)]
+    assert cells(spark.table(layers.table("silver")), "claim_id") == [("2",), ("CLM1",)]

@@ -1,0 +1,104 @@
+import pytest
+from pyspark.sql import functions as F
+
+from claimstrata.operators.sinks import append, materialize, replace_all, replace_month
+from conftest import cells, plan_of
+from claimstrata.operators.bronze import latest_per_key
+
+PARTS = ("claim_year", "claim_month", "payer_id")
+
+
+@pytest.fixture
+def rows(spark):
+    def build(*values):
+        return spark.createDataFrame(
+            list(values), "id int, payer_id string, claim_year int, claim_month int"
+        )
+
+    return build
+
+
+def test_append_counts_and_adds(spark, rows, layers):
+    table, path = layers.table("t"), layers.path("t")
+    assert append(rows((1, "P1", 2001, 5), (2, "P2", 2001, 5)), table, PARTS, path) == 2
+    assert append(rows((3, "P1", 2001, 6)), table, PARTS, path) == 1
+    assert append(rows(), table, PARTS, path) == 0
+    assert spark.table(table).count() == 3
+
+
+def test_append_matches_columns_by_name(spark, rows, layers):
+    table = layers.table("t")
+    append(rows((1, "P1", 2001, 5)), table, PARTS, layers.path("t"))
+    append(rows((2, "P2", 2002, 6)).select(*reversed(rows().columns)), table, PARTS)
+    assert cells(spark.table(table), "id", "payer_id", "claim_year") == [(1, "P1", 2001), (2, "P2", 2002)]
+
+
+def test_append_widens_both_ways(spark, rows, layers):
+    table = layers.table("t")
+    append(rows((1, "P1", 2001, 5)), table, PARTS, layers.path("t"))
+    append(rows((2, "P1", 2001, 5)).withColumn("extra", F.lit("x")), table, PARTS)
+    append(rows((3, "P1", 2001, 5)), table, PARTS)
+    assert cells(spark.table(table), "id", "extra") == [(1, None), (2, "x"), (3, None)]
+
+
+def test_append_refuses_type_changes(rows, layers):
+    table = layers.table("t")
+    append(rows((1, "P1", 2001, 5)), table, PARTS, layers.path("t"))
+    with pytest.raises(ValueError, match="id"):
+        append(rows((2, "P1", 2001, 5)).withColumn("id", F.col("id").cast("string")), table, PARTS)
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_month_overwrite_removes_vanished_payers(spark, rows, layers, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    table, path = layers.table("t"), layers.path("t")
+    both = rows((1, "P1", 2001, 5), (2, "P2", 2001, 5))
+    assert replace_month(both, table, 2001, 5, PARTS, path) == 2
+    replace_month(rows((3, "P2", 2001, 6)), table, 2001, 6, PARTS)
+    assert replace_month(rows((4, "P1", 2001, 5)), table, 2001, 5, PARTS) == 1
+    assert cells(spark.table(table), "id", "payer_id", "claim_month") == [(3, "P2", 6), (4, "P1", 5)]
+
+
+def test_month_overwrite_with_nothing_empties_the_month(spark, rows, layers):
+    table = layers.table("t")
+    replace_month(rows((1, "P1", 2001, 5)), table, 2001, 5, PARTS, layers.path("t"))
+    assert replace_month(rows(), table, 2001, 5, PARTS) == 0
+    assert spark.table(table).count() == 0
+
+
+def test_month_overwrite_refuses_other_months(rows, layers):
+    table = layers.table("t")
+    with pytest.raises(Exception, match="row outside 2001-05"):
+        replace_month(rows((1, "P1", 2001, 6)), table, 2001, 5, PARTS, layers.path("t"))
+
+
+def test_replace_all(spark, rows, layers):
+    table, path = layers.table("t"), layers.path("t")
+    replace_all(rows((1, "P1", 2001, 5), (2, "P1", 2001, 6)), table, PARTS, path)
+    assert replace_all(rows((3, "P1", 2001, 5)), table, PARTS, path) == 1
+    assert cells(spark.table(table), "id") == [(3,)]
+
+
+def test_managed_table_without_path(spark, rows, layers):
+    assert append(rows((1, "P1", 2001, 5)), layers.table("managed"), PARTS) == 1
+    assert spark.table(layers.table("managed")).count() == 1
+
+
+def test_bucketed_table_needs_no_shuffle_to_deduplicate(spark, rows, layers):
+    table = layers.table("t")
+    for paid in (1, 2):
+        batch = rows(*((n, "P1", 2001, 5) for n in range(50))).withColumn("v", F.lit(paid))
+        append(batch.repartition(4, "id"), table, PARTS, layers.path("t"), buckets=4, bucket_by="id")
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "true")
+    latest = latest_per_key(spark.table(table).where("claim_year = 2001 and claim_month = 5"), "id", ["v"])
+    assert "Exchange" not in plan_of(latest)
+    assert cells(latest.groupBy("v").count()) == [(2, 50)]
+
+
+def test_materialize(spark, rows, layers):
+    df = rows((1, "P1", 2001, 5))
+    assert materialize(df, "x", "ephemeral") is df
+    assert materialize(df, layers.table("v"), "view").count() == 1
+    assert materialize(df, layers.table("m"), "table", layers.path("m")).count() == 1
+    with pytest.raises(ValueError):
+        materialize(df, "x", "cube")
