@@ -116,7 +116,7 @@ def bronze_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(_claims(spark, sf_dir))
 
 
-def bronze_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _fresh_layers(spark)
     run_bronze(_claims(spark, sf_dir), RUN_TS, layers, RUN_TS, nulls="keep")
     return spark.table(layers.table("bronze")).drop(SOURCE_FILE)
@@ -213,11 +213,11 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(standardize_codes(_claims(spark, sf_dir)), RUN_TS)
 
 
-def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir).drop("_silver_processed_at")
 
 
-def silver_month_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Bronze month cleaned into an empty Silver table."""
     layers = _fresh_layers(spark)
     run_bronze(_claims(spark, sf_dir), RUN_TS, layers, RUN_TS, nulls="keep")
@@ -355,7 +355,7 @@ def check_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: Silver of all claims at the smallest scale."""
-    return silver_pipeline(spark, "/root/testdata/sf0.001")
+    return silver_job(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
@@ -365,7 +365,7 @@ def queries() -> dict[str, Query]:
         "claims_contract_rejects": claims_contract_rejects,
         "bronze_audit": bronze_audit,
         "bronze_dedup": bronze_dedup,
-        "bronze_pipeline": bronze_pipeline,
+        "bronze_job": bronze_job,
         "bronze_append_two_batches": bronze_append_two_batches,
         "bronze_schema_evolution": bronze_schema_evolution,
         "bronze_month_scan": bronze_month_scan,
@@ -384,8 +384,8 @@ def queries() -> dict[str, Query]:
         "validation_lost_rows": validation_lost_rows,
         "silver_dedup": silver_dedup,
         "enrich": enriched,
-        "silver_pipeline": silver_pipeline,
-        "silver_month_pipeline": silver_month_pipeline,
+        "silver_job": silver_job,
+        "silver_month_job": silver_month_job,
         "silver_replace_month": silver_replace_month,
         "silver_month_scan": silver_month_scan,
         "medallion_end_to_end": medallion_end_to_end,

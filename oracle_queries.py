@@ -302,7 +302,7 @@ ORACLES: dict[str, str] = {
     ),
     "bronze_audit": _with(C, f"SELECT *, {_audit()}, {MONTH_OF} FROM claims"),
     "bronze_dedup": _with(C, _latest("claims", "ingestion_ts", CLAIM_FIELDS)),
-    "bronze_pipeline": _with(BRONZE, "SELECT * FROM bronze"),
+    "bronze_job": _with(BRONZE, "SELECT * FROM bronze"),
     "bronze_append_two_batches": _with(TWO_BATCHES, _latest("stored", "_ingested_at", BATCH_FIELDS)),
     "bronze_schema_evolution": _with(
         C,
@@ -344,8 +344,8 @@ ORACLES: dict[str, str] = {
     "validation_lost_rows": _with(STD, f"SELECT * FROM std WHERE {BROKEN} IS NULL"),
     "silver_dedup": _with(SILVER, "SELECT * FROM latest"),
     "enrich": _with(RAW_STD, f"SELECT *, {ENRICHED}, {PROCESSED} FROM std"),
-    "silver_pipeline": _with(SILVER, "SELECT * EXCLUDE (_silver_processed_at) FROM silver"),
-    "silver_month_pipeline": _with(
+    "silver_job": _with(SILVER, "SELECT * EXCLUDE (_silver_processed_at) FROM silver"),
+    "silver_month_job": _with(
         FROM_BRONZE | {
             "month_valid": "SELECT * FROM valid WHERE year = 2001 AND month = 5",
             "month_latest": _latest("month_valid", "ingestion_ts", CLAIM_FIELDS),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimstrata.operators.bronze import add_audit_columns, batch_id, deduplicate, months_touched
 from claimstrata.plans.bronze import bronze_rows, reference_rows, run_bronze, run_reference_feed
 from claimstrata.sources.contract import enforce_not_null, split_not_null, validate_schema
-from conftest import cells, plan_of
+from conftest import CLEAN, cells, plan_of
 
 RUN = dt.datetime(2024, 1, 1, 2, 3, 4)
 
@@ -73,18 +73,20 @@ def test_deduplication_is_idempotent(claims):
     assert cells(deduplicate(once)) == cells(once)
 
 
-def test_hot_key_is_reduced_before_the_shuffle(spark, claims):
+def test_hot_key_is_reduced_before_the_shuffle(spark):
     """A third of the rows share an id, another third has none."""
-    n = 9000
-    kind = F.col("id") % 3
-    one = claims({}).drop("claim_id", "ingestion_ts")
+    row, kind = F.col("id"), F.col("id") % 3
+    constant = {k: F.lit(v) for k, v in CLEAN.items() if k not in ("claim_id", "ingestion_ts")}
     skewed = (
-        spark.range(0, n, 1, 6)
-        .select(
-            F.when(kind == 0, "HOT").when(kind == 1, F.concat(F.lit("C"), F.col("id"))).alias("claim_id"),
-            F.timestamp_seconds(F.col("id") * 7919 % 10007).alias("ingestion_ts"),
+        spark.range(0, 9000, 1, 6)
+        .withColumns(
+            {
+                "claim_id": F.when(kind == 0, "HOT").when(kind == 1, F.concat(F.lit("C"), row)),
+                "ingestion_ts": F.timestamp_seconds(row * 7919 % 10007),
+                **constant,
+            }
         )
-        .join(one)
+        .drop("id")
     )
     result = deduplicate(skewed)
     plan = plan_of(result)

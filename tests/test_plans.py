@@ -29,7 +29,7 @@ def shuffles(plan):
     return len(re.findall(r"Exchange (?:hashpartitioning|SinglePartition|rangepartitioning|RoundRobin)", plan))
 
 
-@pytest.mark.parametrize("name", ["silver_pipeline", "bronze_dedup", "gold_fact_claims", "dq_metrics"])
+@pytest.mark.parametrize("name", ["silver_job", "bronze_dedup", "gold_fact_claims", "dq_metrics"])
 def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(registry.queries()[name](spark, SF_DIR))
     for bad in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
