@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from claimstrata.functions.columns import date_or_today
 from claimstrata.schemas import CLAIM_STATUSES, CLAIM_TYPES
 
+# Fixed value: flag columns are the rule names with this prefix.
 FLAG_PREFIX = "_v_"
 
 
@@ -26,6 +27,7 @@ def claim_rules(as_of: dt.date | None = None, members_hashed: bool = False) -> d
     rule cannot fire.
     """
     member_missing = F.lit(False) if members_hashed else F.col("member_id").isNull()
+    # Rule names and their order.
     return {
         "claim_id_null": F.col("claim_id").isNull(),
         "member_id_null": member_missing,

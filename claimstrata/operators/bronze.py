@@ -17,6 +17,7 @@ _RANK = "_rank"
 
 def batch_id(execution_time: dt.datetime, entity: str = "claims") -> str:
     """Batch name of an execution time: `<entity>_<yyyymmddhhmmss>_<8 hex>`."""
+    # Fixed value: the format of a batch name.
     stamp = execution_time.strftime("%Y%m%d%H%M%S")
     return f"{entity}_{stamp}_{hashlib.md5(stamp.encode()).hexdigest()[:8]}"
 

@@ -23,6 +23,7 @@ _WEEKEND = (1, 7)
 
 def build_dim_date(silver: DataFrame) -> DataFrame:
     """One row per service date."""
+    # Names and formats of the calendar attributes.
     day, weekday = F.col("service_date"), F.dayofweek("service_date")
     return silver.select("service_date").distinct().select(
         date_key("service_date").alias("date_key"),
@@ -71,6 +72,7 @@ def build_dim_diagnosis(silver: DataFrame) -> DataFrame:
 
 def build_fact_claims(silver: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """One row per Silver claim."""
+    # Names and order of the fact columns.
     carried = ["payer_id", "claim_type", "claim_status", "procedure_code"]
     measures = ["billed_amount", "allowed_amount", "paid_amount", "discount_rate", "is_denied"]
     return silver.select(

@@ -86,6 +86,7 @@ def apply_cdc_dedup(df: DataFrame, order_field: str = "_ingested_at") -> DataFra
 
 def enrich(df: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """Calendar parts, discount rate, denial mark and processing time."""
+    # Names of the derived columns.
     return df.withColumns(
         {
             "claim_year": F.year("service_date"),

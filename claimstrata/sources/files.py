@@ -16,9 +16,11 @@ SOURCE_FILE = "_source_file"
 
 _TIMESTAMPS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _OPTIONS = {
-    # Padding is data here: trimming codes is the Silver layer's job.
+    # Padding is data here: trimming codes is the Silver layer's job.  Columns
+    # in another order than the contract are an error, not shifted values.
     "csv": {
         "header": "true",
+        "enforceSchema": "false",
         "timestampFormat": _TIMESTAMPS,
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",

@@ -42,6 +42,13 @@ def test_bad_records_are_set_aside(spark, claims, layers, tmp_path, fmt):
     assert all(s.startswith("file:") for s in sources)
 
 
+def test_csv_columns_in_another_order_are_refused(spark, claims, tmp_path):
+    df = claims({})
+    write_feed(df.select(*reversed(df.columns)), str(tmp_path / "feed"), "csv")
+    with pytest.raises(Exception, match="CSV header"):
+        read_feed(spark, str(tmp_path / "feed"), "csv")[0].collect()
+
+
 def test_conform_orders_widens_and_keeps_extras(claims):
     df = claims({}).selectExpr("'x' AS extra", "5 AS billed_amount", "* EXCEPT (billed_amount)")
     typed = conform(df)

@@ -12,7 +12,7 @@ from claimstrata.plans.bronze import bronze_rows, run_bronze
 from claimstrata.plans.gold import star_schema
 from claimstrata.plans.silver import SilverOptions, run_silver, silver_rows
 from claimstrata.sources.layers import bronze_month, silver_month
-from conftest import SF_DIR, plan_of
+from conftest import SF_DIR, cells, plan_of
 
 RUN = dt.datetime(2024, 1, 1)
 OPTIONS = SilverOptions(as_of=dt.date(2001, 6, 30), run_ts=RUN)
@@ -106,3 +106,14 @@ def test_start_date_reaches_the_scan(spark, stored):
     run_gold(spark, stored, run_ts=RUN)
     plan = plan_of(marts.since(spark.table(stored.table("fact_claims")), dt.date(2001, 5, 1)))
     assert "GreaterThanOrEqual(date_key,20010501)" in plan
+
+
+def test_bucketed_bronze_saves_the_silver_shuffle(spark, claims, layers):
+    late = {"ingestion_ts": dt.datetime(2001, 5, 9), "paid_amount": 1.0}
+    run_bronze(claims({}, {"claim_id": "2"}), RUN, layers, RUN, buckets=4)
+    after = RUN + dt.timedelta(days=1)
+    wider = claims(late).selectExpr("*", "'gold' AS tier")
+    run_bronze(wider, after, layers, after, buckets=4)
+    clean = silver_rows(bronze_month(spark, layers.table("bronze"), 2001, 5), OPTIONS)
+    assert shuffles(plan_of(clean)) == 0
+    assert cells(clean, "claim_id", "paid_amount", "tier") == [("2", 60.0, None), ("CLM1", 1.0, "gold")]
