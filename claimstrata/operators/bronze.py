@@ -6,7 +6,7 @@ import datetime as dt
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimstrata.functions.columns import timestamp_or_now
@@ -22,6 +22,11 @@ def batch_id(execution_time: dt.datetime, entity: str = "claims") -> str:
     return f"{entity}_{stamp}_{hashlib.md5(stamp.encode()).hexdigest()[:8]}"
 
 
+def month_columns(date_field: str) -> dict[str, Column]:
+    """Year and month of a date, the partitions of Bronze."""
+    return {"year": F.year(date_field), "month": F.month(date_field)}
+
+
 def add_audit_columns(
     df: DataFrame,
     batch: str,
@@ -43,7 +48,7 @@ def add_audit_columns(
         "_is_deleted": F.lit(False),
     }
     if date_field:
-        stamps |= {"year": F.year(date_field), "month": F.month(date_field)}
+        stamps |= month_columns(date_field)
     return df.withColumns(stamps)
 
 

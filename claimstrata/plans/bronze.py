@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from claimstrata.operators.bronze import add_audit_columns, batch_id, latest_per_key
+from claimstrata.operators.bronze import (
+    add_audit_columns,
+    batch_id,
+    latest_per_key,
+    month_columns,
+)
 from claimstrata.operators.sinks import append, balanced
 from claimstrata.plans.layers import Layers
 from claimstrata.schemas import (
@@ -32,21 +37,26 @@ def bronze_rows(
     date_field: str | None = "service_date",
     run_ts: dt.datetime | None = None,
     nulls: str = "fail",
+    layout: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Typed, deduplicated, audited rows of one batch of any feed.
 
     `nulls="fail"` stops at a NULL in a NOT NULL field; `"keep"` lets it
-    through.  Stamps are added after deduplication: they are constant within
-    a batch and need not travel through its shuffle.
+    through.  `layout` distributes the rows for writing.  Stamps come last:
+    they are constant within a batch and need not travel through shuffles.
     """
     typed = conform(df, schema)
     if nulls == "fail":
         typed = enforce_not_null(typed, schema)
     elif nulls != "keep":
         raise ValueError(f"nulls must be 'fail' or 'keep', not {nulls!r}")
-    return add_audit_columns(
-        latest_per_key(typed, key, newest_first), batch, run_ts, date_field=date_field
-    )
+    latest = latest_per_key(typed, key, newest_first)
+    laid_out = layout(latest) if layout else latest
+    return add_audit_columns(laid_out, batch, run_ts, date_field=date_field)
+
+
+def _by_partition(df: DataFrame) -> DataFrame:
+    return balanced(df.withColumns(month_columns("service_date")), BRONZE_PARTITIONS)
 
 
 def run_bronze(
@@ -71,11 +81,8 @@ def run_bronze(
         claims, broken = split_not_null(conform(claims))
         rejected = _reject(broken, batch, layers, run_ts)
         nulls = "keep"
-    rows = bronze_rows(claims, batch, run_ts=run_ts, nulls=nulls)
-    if buckets:
-        rows = rows.repartition(buckets, "claim_id")
-    else:
-        rows = balanced(rows, BRONZE_PARTITIONS)
+    layout = (lambda df: df.repartition(buckets, "claim_id")) if buckets else _by_partition
+    rows = bronze_rows(claims, batch, run_ts=run_ts, nulls=nulls, layout=layout)
     loaded = append(
         rows, layers.table("bronze"), BRONZE_PARTITIONS, layers.path("bronze"), buckets
     )

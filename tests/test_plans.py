@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as registry
 from claimstrata.operators import checks, marts
 from claimstrata.operators.sinks import balanced
-from claimstrata.plans.bronze import bronze_rows, run_bronze
+from claimstrata.plans.bronze import _by_partition, bronze_rows, run_bronze
 from claimstrata.plans.gold import star_schema
 from claimstrata.plans.silver import SilverOptions, run_silver, silver_rows
 from claimstrata.sources.layers import bronze_month, silver_month
@@ -58,10 +58,11 @@ def test_hashing_comes_after_the_shuffle(spark, stored):
     assert plan.count("sha2(") == 2
 
 
-def test_stamps_come_after_the_bronze_shuffle(claims):
-    plan = plan_of(bronze_rows(claims({}), "b", run_ts=RUN, nulls="keep"))
-    assert plan.index("_ingested_by") < plan.index("Exchange hashpartitioning(claim_id")
-    assert "_ingested_by" not in plan[plan.index("Exchange hashpartitioning(claim_id") :]
+def test_stamps_come_after_the_bronze_shuffles(claims):
+    plan = plan_of(bronze_rows(claims({}), "b", run_ts=RUN, nulls="keep", layout=_by_partition))
+    rebalance = plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert rebalance < plan.index("Exchange hashpartitioning(claim_id")
+    assert plan.index("_ingested_by") < rebalance and "_ingested_by" not in plan[rebalance:]
 
 
 def test_write_is_rebalanced_by_partition(spark, stored):
