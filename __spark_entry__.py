@@ -49,6 +49,15 @@ from claimstrata.sources.files import SOURCE_FILE, read_feed, write_feed
 from claimstrata.sources.layers import bronze_month, silver_month
 from oracle_queries import ORACLES
 
+# The training-data operators are an optional part: without them the rest works.
+try:
+    import corpus_pipeline
+    from claimstrata.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "claimstrata.llm", "claimstrata.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 AS_OF = dt.date(2001, 6, 30)
 RUN_TS = dt.datetime(2024, 1, 1)
 YEAR, MONTH = 2001, 5
@@ -360,7 +369,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name -> query over the tables in a folder."""
-    return {
+    extra = {**llm_queries.queries(), "pipeline": corpus_pipeline.run} if llm_queries else {}
+    return extra | {
         "claims_source": _claims,
         "claims_contract_rejects": claims_contract_rejects,
         "bronze_audit": bronze_audit,
@@ -422,4 +432,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """Name -> SQL with the same rows and column names."""
-    return dict(ORACLES)
+    return dict(ORACLES) | (llm_queries.oracle_sql() if llm_queries else {})
