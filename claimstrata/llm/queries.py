@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from claimstrata.llm import url_vocabulary
 from claimstrata.llm.html_regions import extract_pages
+from claimstrata.llm.imatch import fingerprint_edits
 from claimstrata.llm.language_ppm import held_out, identify_languages
 from claimstrata.llm.license_templates import scan_licenses
 from claimstrata.llm.shared import table
+from claimstrata.llm.target_ratio import QualityLimits, judge_quality, trusted_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +24,10 @@ def op1_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_vocabulary.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -34,12 +40,20 @@ def op6_html_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = trusted_ids(table(spark, sf_dir, "labels"), QualityLimits())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge_quality(docs, trusted).drop("text")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_ppm": op1_language_ppm,
+        "op2_imatch": op2_imatch,
         "op3_url_vocabulary": op3_url_vocabulary,
         "op4_license_templates": op4_license_templates,
         "op6_html_regions": op6_html_regions,
+        "op9_target_ratio": op9_target_ratio,
     }
 
 
