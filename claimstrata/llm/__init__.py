@@ -1 +1,9 @@
 """Operators for preparing training data; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors with the tasks, so no copy of
+# it has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -182,11 +181,6 @@ def compile_template(label: str, template: str) -> Automaton:
     return Automaton(label, steps, any_step, free, at, f" {' '.join(anchor)} ".encode())
 
 
-@lru_cache(maxsize=4)
-def compiled(templates: tuple[tuple[str, str], ...]) -> tuple[Automaton, ...]:
-    return tuple(compile_template(label, text) for label, text in templates)
-
-
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_WORDS).split()
 
@@ -200,8 +194,8 @@ def _places(joined: bytes, phrase: bytes) -> Iterator[int]:
 
 def scan_text(
     text: bytes | None,
-    phrases: tuple[tuple[str, str], ...] = PHRASES,
-    templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    phrases: tuple[tuple[str, str], ...],
+    automata: list[Automaton],
 ) -> tuple[int, list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Number of words, base places and template places as (start, end, label)."""
     words = words_of(text)
@@ -213,7 +207,7 @@ def scan_text(
     ]
     found = [
         (start, end, automaton.label)
-        for automaton in compiled(templates)
+        for automaton in automata
         if automaton.anchor in joined
         for start, end in automaton.spans(words)
     ]
@@ -237,10 +231,11 @@ def scan_licenses(
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automata = [compile_template(label, template) for label, template in templates]
         for batch in batches:
             rows = []
             for text in batch["__text"]:
-                n_words, base, found = scan_text(text.as_py(), phrases, templates)
+                n_words, base, found = scan_text(text.as_py(), phrases, automata)
                 starts = [s for s, _, _ in base]
                 base_labels = {label for _, _, label in base}
                 rows.append(

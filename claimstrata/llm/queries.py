@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimstrata.llm import url_vocabulary
+from claimstrata.llm.bottom_sketches import near_duplicates
 from claimstrata.llm.html_regions import extract_pages
 from claimstrata.llm.imatch import fingerprint_edits
 from claimstrata.llm.language_ppm import held_out, identify_languages
@@ -46,6 +47,10 @@ def op9_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs, trusted).drop("text")
 
 
+def op10_bottom_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_ppm": op1_language_ppm,
@@ -54,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op4_license_templates": op4_license_templates,
         "op6_html_regions": op6_html_regions,
         "op9_target_ratio": op9_target_ratio,
+        "op10_bottom_sketches": op10_bottom_sketches,
     }
 
 

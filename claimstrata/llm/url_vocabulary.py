@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -79,8 +78,7 @@ def match_rule(host: Column, path: Column, rules: UrlRules) -> tuple[Column, Col
     return name, verdict
 
 
-@lru_cache(maxsize=8)
-def _automaton(vocabulary: Vocabulary) -> ahocorasick.Automaton:
+def build_automaton(vocabulary: Vocabulary) -> ahocorasick.Automaton:
     automaton = ahocorasick.Automaton()
     for term, weight in vocabulary.soft:
         automaton.add_word(term, (term, weight))
@@ -94,12 +92,12 @@ def _touches(url: str, at: int) -> bool:
     return 0 <= at < len(url) and (url[at].isdigit() or url[at].isalpha()) and url[at].isascii()
 
 
-def count_terms(url: str | None, vocabulary: Vocabulary) -> tuple[int, int, float]:
+def count_terms(url: str | None, automaton: ahocorasick.Automaton) -> tuple[int, int, float]:
     """Distinct strict terms, distinct soft terms, weight of the latter."""
     if not url:
         return 0, 0, 0.0
     folded, strict, soft = url.translate(_FOLD), set(), {}
-    for end, (term, weight) in _automaton(vocabulary).iter(folded):
+    for end, (term, weight) in automaton.iter(folded):
         if _touches(folded, end + 1) or _touches(folded, end - len(term)):
             continue
         if weight is None:
@@ -123,8 +121,9 @@ def filter_urls(pages: DataFrame, rules: UrlRules | None = None) -> DataFrame:
     id_type = pages.schema["page_id"].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = build_automaton(vocabulary)
         for batch in batches:
-            hits = [count_terms(u, vocabulary) for u in batch["url"].to_pylist()]
+            hits = [count_terms(u, automaton) for u in batch["url"].to_pylist()]
             verdicts = [
                 says or ("block" if strict or weight >= vocabulary.limit else "allow")
                 for says, (strict, _, weight) in zip(batch["verdict"].to_pylist(), hits)
