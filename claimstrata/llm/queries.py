@@ -12,9 +12,12 @@ from claimstrata.llm.bottom_sketches import near_duplicates
 from claimstrata.llm.html_regions import extract_pages
 from claimstrata.llm.imatch import fingerprint_edits
 from claimstrata.llm.language_ppm import held_out, identify_languages
+from claimstrata.llm.length_buckets import pack
 from claimstrata.llm.license_templates import scan_licenses
+from claimstrata.llm.quote_links import reply_order
 from claimstrata.llm.shared import table
 from claimstrata.llm.target_ratio import QualityLimits, judge_quality, trusted_ids
+from claimstrata.llm.temperature_mix import mix_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,10 +40,23 @@ def op4_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op6_html_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix_sources(docs).drop("text")
+
+
+def op8_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op9_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = trusted_ids(table(spark, sf_dir, "labels"), QualityLimits())
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,7 +73,10 @@ def queries() -> dict[str, Query]:
         "op2_imatch": op2_imatch,
         "op3_url_vocabulary": op3_url_vocabulary,
         "op4_license_templates": op4_license_templates,
+        "op5_quote_links": op5_quote_links,
         "op6_html_regions": op6_html_regions,
+        "op7_temperature_mix": op7_temperature_mix,
+        "op8_length_buckets": op8_length_buckets,
         "op9_target_ratio": op9_target_ratio,
         "op10_bottom_sketches": op10_bottom_sketches,
     }
