@@ -166,4 +166,8 @@ def keep_good(docs: DataFrame, trusted: list[int], limits: QualityLimits | None
     """Documents that pass, as they are."""
     prefix = own_name(docs, "quality") + "__"
     judged = judge_quality(docs, trusted, limits, prefix)
-    return judged.where(F.col(f"{prefix}kept")).select(*docs.columns)
+    # Spark would push the verdict's filter below each of its steps and repeat them
+    # there; it leaves a filter above a column that is not deterministic.
+    row = f"{prefix}row"
+    numbered = judged.withColumn(row, F.monotonically_increasing_id())
+    return numbered.where(F.col(f"{prefix}kept") & (F.col(row) >= 0)).select(*docs.columns)
