@@ -21,6 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from claimstrata.functions.rules import claim_rules, flag_columns
 from claimstrata.operators import checks, marts
 from claimstrata.operators.bronze import add_audit_columns, batch_id, deduplicate, months_touched
+from claimstrata.operators.checks import FACT_RELATIONS
 from claimstrata.operators.quality import dq_gate, dq_metrics
 from claimstrata.operators.silver import (
     apply_cdc_dedup,
@@ -31,11 +32,11 @@ from claimstrata.operators.silver import (
     standardize_codes,
 )
 from claimstrata.operators.sinks import append, balanced, materialize, replace_month
-from claimstrata.plans.bronze import bronze_rows, reference_rows, run_bronze
+from claimstrata.plans.bronze import bronze_rows, reference_rows, run_bronze, run_bronze_files
 from claimstrata.plans.gold import run_gold, star_schema
 from claimstrata.plans.layers import Layers
 from claimstrata.plans.medallion import run_medallion
-from claimstrata.plans.silver import SilverOptions, quarantine_rows, run_silver, silver_rows
+from claimstrata.plans.silver import SilverOptions, quarantine_rows, rerun_touched, run_silver, silver_rows
 from claimstrata.schemas import (
     BRONZE_PARTITIONS,
     CLAIM_STATUSES,
@@ -45,7 +46,7 @@ from claimstrata.schemas import (
 from claimstrata.session import configure, workspace
 from claimstrata.sources.contract import split_not_null
 from claimstrata.sources.feeds import claims_feed, members_feed, providers_feed
-from claimstrata.sources.files import SOURCE_FILE, read_feed, write_feed
+from claimstrata.sources.files import SOURCE_FILE, UNKNOWN_FIELDS, read_feed, write_feed
 from claimstrata.sources.layers import bronze_month, silver_month
 from oracle_queries import ORACLES
 
@@ -62,6 +63,8 @@ AS_OF = dt.date(2001, 6, 30)
 RUN_TS = dt.datetime(2024, 1, 1)
 YEAR, MONTH = 2001, 5
 START_DATE = dt.date(1998, 1, 1)
+# The feed has more invalid claims than the standard gate allows.
+THRESHOLD = 80.0
 # One load has a single load time, so the feed's own timestamp orders versions.
 OPTIONS = SilverOptions(as_of=AS_OF, run_ts=RUN_TS, order_field="ingestion_ts")
 
@@ -180,6 +183,52 @@ def _roundtrip(fmt: str) -> Query:
     return query
 
 
+def bronze_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per file of a parquet feed, by the file name that Bronze stored."""
+    layers = _fresh_layers(configure(spark))
+    rows, _ = read_feed(spark, f"{sf_dir}/lineitem.parquet", "parquet")
+    audited = add_audit_columns(rows.select("l_orderkey", SOURCE_FILE), batch_id(RUN_TS), RUN_TS, date_field=None)
+    append(audited, layers.table("bronze_lines"), path=layers.path("bronze_lines"))
+    name = F.element_at(F.split(SOURCE_FILE, "/"), -1).alias("file_name")
+    return spark.table(layers.table("bronze_lines")).groupBy(name).agg(F.count("*").alias("row_count"))
+
+
+def _wider_feed(spark: SparkSession, sf_dir: str) -> str:
+    """JSON claims; those of payer 1 have a field that the contract lacks."""
+    path = workspace(configure(spark), "json")
+    tier = F.when(F.col("payer_id") == "PAYER_001", F.concat(F.lit("TIER_"), F.substring("provider_id", -1, 1)))
+    write_feed(_claims(spark, sf_dir).withColumn("network_tier", tier), path, "json")
+    return path
+
+
+def json_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = read_feed(spark, _wider_feed(spark, sf_dir), "json", unknown="keep")
+    tier = F.col(UNKNOWN_FIELDS)["network_tier"]
+    return rows.withColumn("network_tier", tier).drop(UNKNOWN_FIELDS, SOURCE_FILE)
+
+
+def json_feed_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of a JSON feed whose wider records and NOT NULL violations are set aside."""
+    layers = _fresh_layers(spark)
+    run_bronze_files(
+        spark, _wider_feed(spark, sf_dir), "json", RUN_TS, layers, RUN_TS, nulls="reject", unknown="reject"
+    )
+    return spark.table(layers.table("bronze")).drop(SOURCE_FILE)
+
+
+def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects table after a batch with NULLs in required fields."""
+    layers = _fresh_layers(spark)
+    run_bronze(_claims(spark, sf_dir), RUN_TS, layers, RUN_TS, nulls="reject")
+    return spark.table(layers.table("bronze_rejects")).drop(SOURCE_FILE)
+
+
+def bronze_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = _fresh_layers(spark)
+    run_bronze(_claims(spark, sf_dir), RUN_TS, layers, RUN_TS, nulls="keep", buckets=8)
+    return spark.table(layers.table("bronze")).drop(SOURCE_FILE)
+
+
 # --- Silver -----------------------------------------------------------------
 
 
@@ -234,6 +283,46 @@ def silver_month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(layers.table("silver")).drop(SOURCE_FILE)
 
 
+def silver_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of the whole history as its job stored it."""
+    return spark.table(_stored_silver(spark, sf_dir).table("silver")).drop(SOURCE_FILE)
+
+
+def silver_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after a second, wider batch and a re-run of one month."""
+    layers, claims = _fresh_layers(spark), _claims(spark, sf_dir)
+    _append_bronze(claims, layers)
+    run_silver(spark, layers, options=OPTIONS)
+    tier = F.concat(F.lit("TIER_"), F.substring("payer_id", -1, 1))
+    _append_bronze(claims.withColumns({"network_tier": tier, "paid_amount": F.col("paid_amount") + 1}), layers)
+    run_silver(spark, layers, YEAR, MONTH, OPTIONS)
+    return spark.table(layers.table("silver")).drop(SOURCE_FILE)
+
+
+def silver_rerun_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after late claims of two months came in a second batch."""
+    layers, claims = _fresh_layers(spark), _claims(spark, sf_dir)
+    first, second = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    options = SilverOptions(as_of=AS_OF, run_ts=RUN_TS)
+    run_bronze(claims, first, layers, first, nulls="keep")
+    run_silver(spark, layers, options=options)
+    service_month = F.year("service_date") * 100 + F.month("service_date")
+    late = claims.where(service_month.isin(200105, 199903))
+    corrected = late.withColumn("paid_amount", F.col("paid_amount") + 1)
+    batch = run_bronze(corrected, second, layers, second, nulls="keep")["batch_id"]
+    rerun_touched(spark, layers, batch, options)
+    return spark.table(layers.table("silver")).drop(SOURCE_FILE)
+
+
+def quarantine_job_with_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine table of a job that keeps undecided rows and NULL ids."""
+    layers = _fresh_layers(spark)
+    _append_bronze(_claims(spark, sf_dir), layers)
+    options = SilverOptions(AS_OF, RUN_TS, null_flags="quarantine", preserve_null=True, order_field="ingestion_ts")
+    run_silver(spark, layers, YEAR, MONTH, options)
+    return spark.table(layers.table("quarantine")).drop(SOURCE_FILE)
+
+
 def silver_replace_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver after one month was re-run from Bronze rows without one payer."""
     layers = _stored_silver(spark, sf_dir)
@@ -252,7 +341,7 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver after all layers ran over the whole history."""
     layers = _fresh_layers(spark)
     run_medallion(
-        spark, _claims(spark, sf_dir), RUN_TS, layers, True, OPTIONS, nulls="keep"
+        spark, _claims(spark, sf_dir), RUN_TS, layers, True, OPTIONS, nulls="keep", threshold=THRESHOLD
     )
     return spark.table(layers.table("silver")).drop(SOURCE_FILE)
 
@@ -288,6 +377,7 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         nulls="keep",
         members=members_feed(_table(spark, sf_dir, "customer"), nation),
         providers=providers_feed(_table(spark, sf_dir, "supplier"), nation),
+        threshold=THRESHOLD,
     )
     return spark.table(layers.table("run_log"))
 
@@ -301,8 +391,10 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    silver = spark.table(_silver_snapshot(spark, sf_dir).table("silver"))
-    return star_schema(silver, RUN_TS)
+    """The Gold tables as stored."""
+    layers = _silver_snapshot(spark, sf_dir)
+    run_gold(spark, layers, run_ts=RUN_TS)
+    return {table: spark.table(layers.table(table)) for table in (*FACT_RELATIONS, "fact_claims")}
 
 
 def _mart(name: str, build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
@@ -384,6 +476,12 @@ def queries() -> dict[str, Query]:
         "bronze_providers": bronze_providers,
         "csv_roundtrip": _roundtrip("csv"),
         "json_roundtrip": _roundtrip("json"),
+        "parquet_roundtrip": _roundtrip("parquet"),
+        "bronze_source_file": bronze_source_file,
+        "json_unknown_fields": json_unknown_fields,
+        "json_feed_with_rejects": json_feed_with_rejects,
+        "bronze_rejects": bronze_rejects,
+        "bronze_bucketed": bronze_bucketed,
         "mask_pii": lambda spark, sf_dir: mask_pii(_claims(spark, sf_dir)),
         "mask_pii_preserve_null": mask_preserving_null,
         "standardize_codes": lambda spark, sf_dir: standardize_codes(_claims(spark, sf_dir)),
@@ -396,6 +494,10 @@ def queries() -> dict[str, Query]:
         "enrich": enriched,
         "silver_job": silver_job,
         "silver_month_job": silver_month_job,
+        "silver_stored": silver_stored,
+        "silver_schema_evolution": silver_schema_evolution,
+        "silver_rerun_touched": silver_rerun_touched,
+        "quarantine_job_with_unknown": quarantine_job_with_unknown,
         "silver_replace_month": silver_replace_month,
         "silver_month_scan": silver_month_scan,
         "medallion_end_to_end": medallion_end_to_end,

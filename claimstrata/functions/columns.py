@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_AMOUNT = T.DecimalType(28, 6)
+
+
 def salted_hash(field: str, salt: str, preserve_null: bool = False) -> Column:
     """SHA-256 hex of `value|salt`.
 
@@ -65,10 +68,22 @@ def exact_sum(field: str) -> Column:
 
     Decimal addition is associative, so the total does not depend on how rows
     were partitioned or on tasks being recomputed after a lost executor.
+    Amounts count to 6 decimals; `inexact_sum` has those that do not fit.
     """
-    return F.sum(F.col(field).cast(T.DecimalType(20, 6)))
+    return F.sum(F.col(field).try_cast(_AMOUNT))
+
 
+def inexact_sum(field: str) -> Column:
+    """Sum of the amounts no decimal holds (NaN, infinite, 1e22 or more), else NULL."""
+    amount = F.col(field)
+    return F.sum(F.when(amount.isNotNull() & amount.try_cast(_AMOUNT).isNull(), amount))
 
-def to_cents(total: Column) -> Column:
-    """A decimal total rounded half-up to 2 places, as double."""
-    return total.cast(T.DecimalType(38, 2)).cast(T.DoubleType())
+
+def to_cents(total: Column, inexact: Column) -> Column:
+    """A decimal total rounded half-up to 2 places, as double.
+
+    Where amounts exist that no decimal holds, they show in the total: it is NaN,
+    infinite, or a plain floating-point sum.
+    """
+    cents = total.cast(T.DecimalType(38, 2)).cast(T.DoubleType())
+    return F.when(inexact.isNull(), cents).otherwise(inexact + F.coalesce(cents, F.lit(0.0)))

@@ -13,6 +13,7 @@ from claimstrata.functions.columns import timestamp_or_now
 from claimstrata.sources.files import SOURCE_FILE
 
 _RANK = "_rank"
+_ROW = "_null_key_row"
 
 
 def batch_id(execution_time: dt.datetime, entity: str = "claims") -> str:
@@ -52,18 +53,26 @@ def add_audit_columns(
     return df.withColumns(stamps)
 
 
-def latest_per_key(df: DataFrame, key: str, newest_first: Sequence[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, key: str, newest_first: Sequence[str], keep_null_keys: bool = False
+) -> DataFrame:
     """One row per key: the newest by `newest_first`, NULLs last.
 
     All other columns break ties, so equal timestamps give the same row on
     every run and on recomputed tasks.  Spark turns rank = 1 into a group
     limit on both sides of the shuffle: each map task sends at most one row
-    per key, however many copies a hot (or NULL) key has.
+    per key, however many copies a hot (or NULL) key has.  With
+    `keep_null_keys`, rows without key are told apart by a row number and all
+    stay; that also deals them out evenly.
     """
     others = [c for c in df.columns if c != key and c not in newest_first]
     order = [F.col(c).desc_nulls_last() for c in (*newest_first, *others)]
-    ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
+    keys = [key]
+    if keep_null_keys:
+        row = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+        df, keys = df.withColumn(_ROW, row), [key, _ROW]
+    ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(_RANK) == 1).drop(_RANK, _ROW)
 
 
 def deduplicate(df: DataFrame, key: str = "claim_id", order_field: str = "ingestion_ts") -> DataFrame:

@@ -13,9 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimstrata.functions.columns import date_key, surrogate_key, timestamp_or_now
-from claimstrata.schemas import DIAGNOSIS_DESCRIPTION
-
-DIMENSIONS = ("dim_date", "dim_member", "dim_provider", "dim_diagnosis")
+from claimstrata.schemas import DIAGNOSIS_DESCRIPTION, FACT_COLUMNS
 
 # Weekend days in Spark's numbering, 1 = Sunday.
 _WEEKEND = (1, 7)
@@ -72,19 +70,12 @@ def build_dim_diagnosis(silver: DataFrame) -> DataFrame:
 
 def build_fact_claims(silver: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """One row per Silver claim."""
-    # Names and order of the fact columns.
-    carried = ["payer_id", "claim_type", "claim_status", "procedure_code"]
-    measures = ["billed_amount", "allowed_amount", "paid_amount", "discount_rate", "is_denied"]
-    return silver.select(
-        surrogate_key("claim_id").alias("claim_key"),
-        "claim_id",
-        surrogate_key("member_id").alias("member_key"),
-        surrogate_key("provider_id").alias("provider_key"),
-        date_key("service_date").alias("date_key"),
-        surrogate_key("diagnosis_code").alias("diagnosis_key"),
-        *carried,
-        *measures,
-        "place_of_service",
-        "_silver_processed_at",
-        timestamp_or_now(run_ts).alias("_gold_loaded_at"),
-    )
+    derived = {
+        "claim_key": surrogate_key("claim_id"),
+        "member_key": surrogate_key("member_id"),
+        "provider_key": surrogate_key("provider_id"),
+        "date_key": date_key("service_date"),
+        "diagnosis_key": surrogate_key("diagnosis_code"),
+        "_gold_loaded_at": timestamp_or_now(run_ts),
+    }
+    return silver.withColumns(derived).select(*FACT_COLUMNS)

@@ -3,17 +3,61 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimstrata.functions.rules import any_broken, claim_rules
 from claimstrata.schemas import CLAIMS_SCHEMA, QUALITY_THRESHOLD, required_fields
 
 METRICS = ("completeness", "uniqueness", "validity", "timeliness")
+QUALITY_COUNTS = ("present", "unbroken", "on_time")
+
+
+def _on_time(within_days: int) -> Column:
+    service = F.col("service_date").cast("timestamp")
+    return (F.col("ingestion_ts") >= service) & (
+        F.col("ingestion_ts") <= service + F.make_dt_interval(days=F.lit(within_days))
+    )
+
+
+def quality_counts(broken: Column, within_days: int = 30) -> list[Column]:
+    """Counts for the gate over standardised rows, to observe while they are read.
+
+    A row whose rules are undecided is not valid: it does not reach Silver.
+    """
+    fields = required_fields(CLAIMS_SCHEMA)
+    return [
+        reduce(add, [F.count(f) for f in fields]).alias("present"),
+        F.count_if(~broken).alias("unbroken"),
+        F.count_if(_on_time(within_days)).alias("on_time"),
+    ]
+
+
+def input_metrics(rows: int, ids: int, counts: Mapping[str, int]) -> dict[str, float | None]:
+    """The four percentages of the rows a run received; None without rows."""
+    if not rows:
+        return dict.fromkeys(METRICS)
+    fields = len(required_fields(CLAIMS_SCHEMA))
+    return {
+        "completeness": 100 * counts["present"] / (rows * fields),
+        "uniqueness": 100 * ids / rows,
+        "validity": 100 * counts["unbroken"] / rows,
+        "timeliness": 100 * counts["on_time"] / rows,
+    }
+
+
+def require_quality(
+    metrics: Mapping[str, float | None], threshold: float = QUALITY_THRESHOLD
+) -> dict[str, float]:
+    """The metrics, or `ValueError` naming those that are missing or too low."""
+    failed = [m for m in METRICS if metrics[m] is None or not metrics[m] >= threshold]
+    if failed:
+        raise ValueError(f"data quality checks failed: {', '.join(failed)}")
+    return dict(metrics)
 
 
 def dq_metrics(
@@ -29,16 +73,12 @@ def dq_metrics(
     loaded on or after service and within `within_days`.  NULL if no rows.
     """
     fields = required_fields(CLAIMS_SCHEMA) if required is None else list(required)
-    service = F.col("service_date").cast("timestamp")
-    on_time = (F.col("ingestion_ts") >= service) & (
-        F.col("ingestion_ts") <= service + F.make_dt_interval(days=F.lit(within_days))
-    )
     counts = df.agg(
         F.count(F.lit(1)).alias("rows"),
         reduce(add, [F.count(f) for f in fields]).alias("present"),
         F.count_distinct("claim_id").alias("ids"),
         F.count_if(~F.coalesce(any_broken(claim_rules(as_of)), F.lit(False))).alias("unbroken"),
-        F.count_if(on_time).alias("on_time"),
+        F.count_if(_on_time(within_days)).alias("on_time"),
     )
 
     def percent(part: str, times: int = 1):

@@ -71,15 +71,16 @@ def _save(
 
 def _widen(spark: SparkSession, table: str, df: DataFrame) -> DataFrame:
     """Add the frame's new columns to the table, and the table's to the frame."""
-    stored = {f.name: f.dataType for f in spark.table(table).schema}
-    incoming = {f.name: f.dataType for f in df.schema}
-    changed = [c for c in incoming if c in stored and incoming[c] != stored[c]]
+    # Names as the catalog compares them: without case.
+    stored = {f.name.lower(): f for f in spark.table(table).schema}
+    incoming = {f.name.lower(): f for f in df.schema}
+    changed = [f.name for c, f in incoming.items() if c in stored and f.dataType != stored[c].dataType]
     if changed:
-        raise ValueError(f"type change on append to {table}: {', '.join(sorted(changed))}")
-    added = [f"`{c}` {t.simpleString()}" for c, t in incoming.items() if c not in stored]
+        raise ValueError(f"type change on write to {table}: {', '.join(sorted(changed))}")
+    added = [f"`{f.name}` {f.dataType.simpleString()}" for c, f in incoming.items() if c not in stored]
     if added:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
-    absent = {c: F.lit(None).cast(t) for c, t in stored.items() if c not in incoming}
+    absent = {f.name: F.lit(None).cast(f.dataType) for c, f in stored.items() if c not in incoming}
     return df.withColumns(absent) if absent else df
 
 
@@ -100,6 +101,8 @@ def replace_month(
 ) -> int:
     """Replace one month of a table, all payers, and nothing else.
 
+    New columns widen the table (NULL in other months), absent ones are NULL.
+
     `partition_by` starts with the year and month columns.  Payers that are
     absent from `df` disappear.  Running it again gives the same table.
     Plain files have no transaction: a reader may see the month empty while
@@ -107,7 +110,9 @@ def replace_month(
     """
     spark = df.sparkSession
     year_col, month_col, *rest = partition_by
-    if not spark.catalog.tableExists(table):
+    if spark.catalog.tableExists(table):
+        df = _widen(spark, table, df)
+    else:
         _save(df.limit(0), table, "append", partition_by, path)
     # A row of another month is an error of the caller, never moved or dropped.
     in_month = (F.col(year_col) == year) & (F.col(month_col) == month)

@@ -6,7 +6,8 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimstrata.operators.bronze import (
@@ -14,6 +15,7 @@ from claimstrata.operators.bronze import (
     batch_id,
     latest_per_key,
     month_columns,
+    months_touched,
 )
 from claimstrata.operators.sinks import append, balanced
 from claimstrata.plans.layers import Layers
@@ -42,7 +44,7 @@ def bronze_rows(
     """Typed, deduplicated, audited rows of one batch of any feed.
 
     `nulls="fail"` stops at a NULL in a NOT NULL field; `"keep"` lets it
-    through.  `layout` distributes the rows for writing.  Stamps come last:
+    through, and every row without key stays.  `layout` distributes the rows for writing.  Stamps come last:
     they are constant within a batch and need not travel through shuffles.
     """
     typed = conform(df, schema)
@@ -50,7 +52,7 @@ def bronze_rows(
         typed = enforce_not_null(typed, schema)
     elif nulls != "keep":
         raise ValueError(f"nulls must be 'fail' or 'keep', not {nulls!r}")
-    latest = latest_per_key(typed, key, newest_first)
+    latest = latest_per_key(typed, key, newest_first, keep_null_keys=nulls == "keep")
     laid_out = layout(latest) if layout else latest
     return add_audit_columns(laid_out, batch, run_ts, date_field=date_field)
 
@@ -73,21 +75,37 @@ def run_bronze(
     Bronze rejects table.  A batch that is run twice is stored twice; Silver
     absorbs the copies.  `buckets` stores rows hashed on the claim id instead
     of gathered by partition: more files, but Silver then needs no shuffle to
-    deduplicate a month, however often it is re-run.
+    deduplicate a month, however often it is re-run.  The months of the batch
+    go to the batch log, so that late claims are found without a scan.
+
+    Bronze is written before rejects: a run that fails in between and is
+    repeated doubles Bronze rows, which Silver absorbs, and no rejects.
     """
     batch = batch_id(execution_time)
-    rejected = 0
+    broken = None
     if nulls == "reject":
         claims, broken = split_not_null(conform(claims))
-        rejected = _reject(broken, batch, layers, run_ts)
         nulls = "keep"
     layout = (lambda df: df.repartition(buckets, "claim_id")) if buckets else _by_partition
-    rows = bronze_rows(claims, batch, run_ts=run_ts, nulls=nulls, layout=layout)
+    seen, stored = Observation(), Observation()
+    rows = bronze_rows(
+        claims.observe(seen, F.count(F.lit(1)).alias("rows")),
+        batch,
+        run_ts=run_ts,
+        nulls=nulls,
+        layout=layout,
+    ).observe(stored, F.collect_set(F.struct("year", "month")).alias("months"))
     loaded = append(
         rows, layers.table("bronze"), BRONZE_PARTITIONS, layers.path("bronze"), buckets
     )
+    # Nothing was observed where nothing was read; any row received leaves one.
+    received = seen.get["rows"] if loaded else 0
+    _log_months(claims.sparkSession, batch, stored.get["months"] if loaded else [], layers)
+    rejected = 0 if broken is None else _reject(broken, batch, layers, run_ts)
     return {
+        "input_records": received + rejected,
         "records_loaded": loaded,
+        "duplicates_dropped": received - loaded,
         "records_failed": rejected,
         "batch_id": batch,
         "target": layers.table("bronze"),
@@ -103,12 +121,33 @@ def run_bronze_files(
     layers: Layers,
     run_ts: dt.datetime | None = None,
     nulls: str = "fail",
+    buckets: int | None = None,
+    **reading: Any,
 ) -> dict[str, Any]:
-    """Append a CSV or JSON batch; unreadable records go to the rejects table."""
-    rows, corrupt = read_feed(spark, path, fmt)
+    """Append a CSV, JSON or parquet batch; unreadable records go to the rejects table.
+
+    `reading` goes to `read_feed`: timestamp format, line breaks, unknown fields.
+    """
+    rows, corrupt = read_feed(spark, path, fmt, **reading)
+    result = run_bronze(rows, execution_time, layers, run_ts, nulls, buckets)
     unreadable = _reject(corrupt, batch_id(execution_time), layers, run_ts)
-    result = run_bronze(rows, execution_time, layers, run_ts, nulls)
-    return result | {"records_failed": result["records_failed"] + unreadable}
+    return result | {
+        "input_records": result["input_records"] + unreadable,
+        "records_failed": result["records_failed"] + unreadable,
+    }
+
+
+def _log_months(spark: SparkSession, batch: str, months: list[Any], layers: Layers) -> None:
+    """Append the (year, month) pairs of a batch to the batch log."""
+    rows = [(batch, m["year"], m["month"]) for m in months]
+    log = spark.createDataFrame(rows, "_batch_id string, year int, month int").coalesce(1)
+    append(log, layers.table("batch_log"), path=layers.path("batch_log"))
+
+
+def months_of_batch(spark: SparkSession, layers: Layers, batch: str) -> list[tuple[int, int]]:
+    """Months a batch has claims for, from the batch log."""
+    log = spark.table(layers.table("batch_log")).where(F.col("_batch_id") == batch)
+    return sorted(tuple(row) for row in months_touched(log).dropna().collect())
 
 
 def _reject(df: DataFrame, batch: str, layers: Layers, run_ts: dt.datetime | None) -> int:

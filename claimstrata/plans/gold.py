@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from claimstrata.operators.gold import (
@@ -62,5 +63,5 @@ def run_gold(
     # Independent writes: submitted together, so that the small dimension jobs
     # fill executors while the fact is written.
     with ThreadPoolExecutor(len(star)) as pool:
-        written = dict(zip(star, pool.map(load, star)))
+        written = dict(zip(star, pool.map(inheritable_thread_target(spark)(load), star)))
     return {"fact_records": written["fact_claims"], "tables": written, "status": "SUCCESS"}

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimstrata.functions.rules import any_broken, claim_rules
-from claimstrata.operators.bronze import months_touched
+from claimstrata.operators.quality import QUALITY_COUNTS, quality_counts
 from claimstrata.operators.silver import (
     apply_cdc_dedup,
     enrich,
@@ -26,6 +26,7 @@ from claimstrata.operators.silver import (
     valid_rows,
 )
 from claimstrata.operators.sinks import append, balanced, replace_all, replace_month
+from claimstrata.plans.bronze import months_of_batch
 from claimstrata.plans.layers import Layers
 from claimstrata.schemas import DEFAULT_SALT, SILVER_PARTITIONS
 from claimstrata.sources.layers import bronze_month
@@ -80,7 +81,9 @@ def run_silver(
     Without year and month the whole Bronze table is cleaned in one job and
     Silver is overwritten: a backfill, where a claim is kept once overall
     rather than once per service month.  Two writes, no other action: the
-    quarantine write sees every input row in its only stage and counts there.
+    quarantine write sees every input row in its only stage and counts there,
+    for `quality` as well: counts over the rows received, before any is set
+    aside, dropped as a copy or hashed.
     """
     if (year is None) != (month is None):
         raise ValueError("give both year and month, or neither")
@@ -93,6 +96,7 @@ def run_silver(
         seen,
         F.count(F.lit(1)).alias("input"),
         F.count_if(broken.isNull()).alias("undecided"),
+        *quality_counts(broken),
     )
     rejected = options.mask(quarantined_rows(watched, options.rules(), options.null_flags))
     quarantined = append(rejected, layers.table("quarantine"), path=layers.path("quarantine"))
@@ -110,6 +114,7 @@ def run_silver(
         "output_records": written,
         "quarantined": quarantined,
         "undecided": lost,
+        "quality": {name: counts.get(name, 0) for name in QUALITY_COUNTS},
         "status": "SUCCESS",
     }
 
@@ -120,10 +125,10 @@ def rerun_touched(
     """Re-run every month that a Bronze batch has claims for, late ones included.
 
     A daily run cleans its own month only; this is the way to bring late
-    claims into Silver.  The driver sees month numbers, nothing else.
+    claims into Silver.  The months come from the batch log, so only their
+    files are opened; the driver sees month numbers, nothing else.
     """
-    stored = spark.table(layers.table("bronze")).where(F.col("_batch_id") == batch)
-    months = sorted(tuple(row) for row in months_touched(stored).collect())
+    months = months_of_batch(spark, layers, batch)
     return {(y, m): run_silver(spark, layers, y, m, options) for y, m in months}
 
 

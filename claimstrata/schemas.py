@@ -53,6 +53,28 @@ CLAIM_TYPES = ("inpatient", "outpatient", "professional", "pharmacy")
 CLAIM_STATUSES = ("paid", "denied", "pending", "adjusted", "voided")
 DIAGNOSIS_DESCRIPTION = "See ICD-10 reference"
 
+# Names and order of the fact columns.
+FACT_COLUMNS = (
+    "claim_key",
+    "claim_id",
+    "member_key",
+    "provider_key",
+    "date_key",
+    "diagnosis_key",
+    "payer_id",
+    "claim_type",
+    "claim_status",
+    "procedure_code",
+    "billed_amount",
+    "allowed_amount",
+    "paid_amount",
+    "discount_rate",
+    "is_denied",
+    "place_of_service",
+    "_silver_processed_at",
+    "_gold_loaded_at",
+)
+
 # Physical partitioning of the stored layers.
 BRONZE_PARTITIONS = ("year", "month", "payer_id")
 SILVER_PARTITIONS = ("claim_year", "claim_month", "payer_id")

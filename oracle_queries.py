@@ -119,8 +119,14 @@ SILVER = VALID | {
 }
 
 # Bronze deduplicated within its batch, then Silver from it.
+# Claims without id are told apart by nothing, so each of them stays.
+def _latest_keeping(source: str) -> str:
+    known = _latest(f"(SELECT * FROM {source} WHERE claim_id IS NOT NULL)", "ingestion_ts", CLAIM_FIELDS)
+    return f"{known} UNION ALL BY NAME SELECT * FROM {source} WHERE claim_id IS NULL"
+
+
 BRONZE = C | {
-    "first_load": _latest("claims", "ingestion_ts", CLAIM_FIELDS),
+    "first_load": _latest_keeping("claims"),
     "bronze": f"SELECT *, {_audit()}, {MONTH_OF} FROM first_load",
 }
 FROM_BRONZE = BRONZE | {
@@ -188,7 +194,7 @@ GOLD_AND_MONTH = GOLD | {
 
 
 def _money(field: str) -> str:
-    exact = f"sum(CAST({field} AS DECIMAL(20, 6)))"
+    exact = f"sum(CAST({field} AS DECIMAL(28, 6)))"
     return f"CAST(CAST({exact} AS DECIMAL(38, 2)) AS DOUBLE) AS {field}"
 
 
@@ -271,8 +277,8 @@ BATCH_FIELDS = [*CLAIM_FIELDS, "_ingested_at", "_ingested_by", "_batch_id", "_is
 TWO_BATCHES = C | {
     "even": "SELECT * FROM claims WHERE right(provider_id, 1) IN ('0', '2', '4', '6', '8')",
     "corrected": "SELECT * REPLACE (paid_amount + 1 AS paid_amount) FROM claims",
-    "batch_a": _latest("even", "ingestion_ts", CLAIM_FIELDS),
-    "batch_b": _latest("corrected", "ingestion_ts", CLAIM_FIELDS),
+    "batch_a": _latest_keeping("even"),
+    "batch_b": _latest_keeping("corrected"),
     "stored": (
         f"SELECT *, {_audit()}, {MONTH_OF} FROM batch_a UNION ALL "
         f"SELECT *, {_audit('20240102000000', SECOND_TS)}, {MONTH_OF} FROM batch_b"
@@ -291,7 +297,42 @@ SELECT 'PRV' || lpad(CAST(s_suppkey AS STRING), 6, '0') AS provider_id,
 FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """
 
-RUN_LOG = FROM_BRONZE | {"metrics": _quality("silver")}
+# The gate sees what Silver received; valid are the claims its rules let through.
+RUN_LOG = FROM_BRONZE | {
+    "received": _standard("bronze", masked=False),
+    "metrics": _quality("received").replace(
+        f"count(*) FILTER (WHERE NOT coalesce({BROKEN}, false))", f"(SELECT count(*) FROM std WHERE NOT {BROKEN})"
+    ),
+}
+
+# A wider batch after the first; every copy is as new as its original.
+WIDER = STORED | {
+    "wider": "SELECT * REPLACE (paid_amount + 1 AS paid_amount), 'TIER_' || right(payer_id, 1) AS network_tier FROM claims",
+    "two_loads": f"SELECT *, {_audit()}, {MONTH_OF}, CAST(NULL AS VARCHAR) AS network_tier FROM claims UNION ALL BY NAME "
+    f"SELECT *, {_audit()}, {MONTH_OF} FROM wider",
+    "both_std": _standard("two_loads"),
+    "both_valid": f"SELECT * FROM both_std WHERE NOT {BROKEN} AND year = 2001 AND month = 5",
+    "both_latest": _latest("both_valid", "ingestion_ts", [*CLAIM_FIELDS, "network_tier"]),
+    "both_silver": f"SELECT *, {ENRICHED}, {PROCESSED} FROM both_latest",
+}
+
+# Late claims of two months, corrected; the newer load wins.
+LATE_MONTHS = "year * 100 + month IN (200105, 199903)"
+LATE = TWO_BATCHES | {
+    "late": "SELECT * REPLACE (paid_amount + 1 AS paid_amount) FROM claims "
+    "WHERE year(service_date) * 100 + month(service_date) IN (200105, 199903)",
+    "first_batch": _latest_keeping("claims"),
+    "late_batch": _latest_keeping("late"),
+    "loaded": (
+        f"SELECT *, {_audit()}, {MONTH_OF} FROM first_batch UNION ALL "
+        f"SELECT *, {_audit('20240102000000', SECOND_TS)}, {MONTH_OF} FROM late_batch"
+    ),
+    "std": _standard("loaded"),
+    "valid": f"SELECT * FROM std WHERE NOT {BROKEN}",
+    "before": _latest(f"(SELECT * FROM valid WHERE _ingested_at = {RUN_TS})", "_ingested_at", BATCH_FIELDS),
+    "again": _latest(f"(SELECT * FROM valid WHERE {LATE_MONTHS})", "_ingested_at", BATCH_FIELDS, extra=", year, month"),
+    "kept": f"SELECT * FROM before WHERE NOT {LATE_MONTHS} UNION ALL SELECT * FROM again",
+}
 
 ORACLES: dict[str, str] = {
     "claims_source": CLAIMS,
@@ -324,6 +365,43 @@ ORACLES: dict[str, str] = {
     ),
     "csv_roundtrip": CLAIMS,
     "json_roundtrip": CLAIMS,
+    "parquet_roundtrip": CLAIMS,
+    "bronze_source_file": "SELECT 'lineitem.parquet' AS file_name, count(*) AS row_count FROM lineitem",
+    "json_unknown_fields": _with(
+        C,
+        "SELECT *, CASE WHEN payer_id = 'PAYER_001' THEN 'TIER_' || right(provider_id, 1) END AS network_tier FROM claims",
+    ),
+    "json_feed_with_rejects": _with(
+        C | {
+            "known": "SELECT * FROM claims WHERE payer_id <> 'PAYER_001' AND "
+            + " AND ".join(f"{f} IS NOT NULL" for f in REQUIRED),
+            "latest": _latest("known", "ingestion_ts", CLAIM_FIELDS),
+        },
+        f"SELECT *, {_audit()}, {MONTH_OF} FROM latest",
+    ),
+    "bronze_rejects": _with(
+        C,
+        f"SELECT *, concat_ws(', ', {MISSING}) AS _contract_violations, {_audit()} FROM claims WHERE "
+        + " OR ".join(f"{f} IS NULL" for f in REQUIRED),
+    ),
+    "bronze_bucketed": _with(BRONZE, "SELECT * FROM bronze"),
+    "silver_stored": _with(STORED, "SELECT * FROM silver"),
+    "silver_schema_evolution": _with(
+        WIDER,
+        "SELECT * FROM silver WHERE NOT (claim_year = 2001 AND claim_month = 5) "
+        "UNION ALL BY NAME SELECT * FROM both_silver",
+    ),
+    "silver_rerun_touched": _with(LATE, f"SELECT *, {ENRICHED}, {PROCESSED} FROM kept"),
+    "quarantine_job_with_unknown": _with(
+        STORED | {
+            "of_month": "SELECT * FROM bronze WHERE year = 2001 AND month = 5",
+            "plain_std": _standard("of_month", masked=False),
+            "flagged": f"SELECT *, {FLAG_COLUMNS}, {ERRORS} AS _validation_errors FROM plain_std "
+            f"WHERE {BROKEN} OR {BROKEN} IS NULL",
+        },
+        f"SELECT * REPLACE ({PRESERVED}, CASE WHEN _validation_errors = '' THEN 'unknown' "
+        "ELSE _validation_errors END AS _validation_errors) FROM flagged",
+    ),
     "mask_pii": _with(
         C,
         "SELECT * REPLACE (sha256(concat_ws('|', member_id, 'SALT_2024')) AS member_id, "

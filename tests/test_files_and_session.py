@@ -42,6 +42,48 @@ def test_bad_records_are_set_aside(spark, claims, layers, tmp_path, fmt):
     assert all(s.startswith("file:") for s in sources)
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+@pytest.mark.parametrize(
+    "text", ["2001-05-03T10:30:00", "2001-05-03 10:30:00", "2001-05-03T10:30:00.000Z", "2001-05-03T10:30:00.000000"]
+)
+def test_timestamp_forms(spark, claims, tmp_path, fmt, text):
+    feed = tmp_path / "feed"
+    write_feed(claims({}).coalesce(1), str(feed), fmt)
+    (part,) = feed.glob(f"*.{fmt}")
+    (feed / f"again.{fmt}").write_text(part.read_text().replace("2001-05-03T10:30:00.000000", text))
+    part.unlink()
+    rows, corrupt = read_feed(spark, str(feed), fmt)
+    assert cells(rows, "service_date") == [(dt.datetime(2001, 5, 3, 10, 30),)] and corrupt.count() == 0
+
+
+def test_empty_text_and_null_differ_in_csv(spark, claims, tmp_path):
+    df = claims({"place_of_service": ""}, {"claim_id": "2", "place_of_service": None})
+    write_feed(df, str(tmp_path / "feed"), "csv")
+    assert cells(read_feed(spark, str(tmp_path / "feed"), "csv")[0].drop(SOURCE_FILE)) == cells(df)
+
+
+def test_line_breaks_in_csv(spark, claims, tmp_path):
+    df = claims({"place_of_service": "one\ntwo"})
+    with pytest.raises(Exception, match="line break"):
+        write_feed(df, str(tmp_path / "a"), "csv")
+    write_feed(df, str(tmp_path / "b"), "csv", multi_line=True)
+    rows, corrupt = read_feed(spark, str(tmp_path / "b"), "csv", multi_line=True)
+    assert cells(rows.drop(SOURCE_FILE)) == cells(df) and corrupt.count() == 0
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_unknown_fields(spark, claims, tmp_path, fmt):
+    feed = str(tmp_path / "feed")
+    write_feed(claims({}).selectExpr("*", "'gold' AS tier"), feed, fmt)
+    with pytest.raises(Exception, match="unknown fields: tier|CSV header"):
+        read_feed(spark, feed, fmt)[0].collect()
+    rows, corrupt = read_feed(spark, feed, fmt, unknown="keep")
+    assert cells(rows, "claim_id", "_unknown_fields") == [("CLM1", {"tier": "gold"})] and corrupt.count() == 0
+    if fmt == "json":
+        rows, corrupt = read_feed(spark, feed, fmt, unknown="reject")
+        assert (rows.count(), corrupt.count()) == (0, 1)
+
+
 def test_csv_columns_in_another_order_are_refused(spark, claims, tmp_path):
     df = claims({})
     write_feed(df.select(*reversed(df.columns)), str(tmp_path / "feed"), "csv")

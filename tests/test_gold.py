@@ -3,7 +3,7 @@ import hashlib
 
 import pytest
 
-from claimstrata.operators.gold import build_dim_date, build_dim_diagnosis, build_dim_member
+from claimstrata.operators.gold import build_dim_date, build_dim_diagnosis, build_dim_member, build_fact_claims
 from claimstrata.operators.marts import denials_by_category, monthly_payer, since, star_read
 from claimstrata.plans.bronze import run_bronze
 from claimstrata.plans.gold import run_gold, star_schema
@@ -64,6 +64,17 @@ def test_fact_columns_and_rows(silver):
     assert cells(fact.where("claim_id = '3'"), "claim_key", "diagnosis_key") == [(md5("3"), None)]
 
 
+@pytest.mark.parametrize(
+    "odd,total",
+    [(float("nan"), "nan"), (float("inf"), "inf"), (1e15, "1000000000000100.0"), (1e30, "1e+30"), (0.004, "100.0")],
+)
+def test_odd_amounts_show_in_totals(claims, odd, total):
+    changes = {"claim_id": "2", "billed_amount": odd, "paid_amount": 0.0}
+    silver = silver_rows(claims({}, changes), OPTIONS)
+    (row,) = monthly_payer(build_fact_claims(silver), build_dim_date(silver)).collect()
+    assert (row["claims"], str(row["billed_amount"])) == (2, total)
+
+
 def test_star_read_keeps_every_claim(silver):
     star = star_schema(silver, RUN)
     joined = star_read(star["fact_claims"], star)

@@ -84,15 +84,24 @@ def test_orphans(claims):
 
 def test_daily_run_and_log(spark, claims, layers):
     df = claims({}, {"claim_id": "2", "claim_status": "denied"}, {"claim_id": "3", "claim_type": "rx"})
-    summary = run_medallion(spark, df, MAY, layers, options=OPTIONS)
+    summary = run_medallion(spark, df, MAY, layers, options=OPTIONS, threshold=60)
     assert (summary["bronze_records"], summary["silver_records"]) == (3, 2)
     assert (summary["quarantined_records"], summary["fact_records"]) == (1, 2)
-    run_medallion(spark, df, MAY, layers, options=OPTIONS)
+    run_medallion(spark, df, MAY, layers, options=OPTIONS, threshold=40)
     log = spark.table(layers.table("run_log"))
     assert cells(log, "bronze_records", "silver_records", "status") == [(3, 2, "SUCCESS")] * 2
     assert spark.table(layers.table("fact_claims")).count() == 2
 
 
+def test_gate_sees_what_was_set_aside(spark, claims, layers):
+    run_medallion(spark, claims({}), MAY, layers, options=OPTIONS)
+    invalid = [{"claim_id": f"i{k}", "claim_type": "rx"} for k in range(30)]
+    undecided = [{"claim_id": f"u{k}", "claim_type": None} for k in range(30)]
+    with pytest.raises(ValueError, match="validity"):
+        run_medallion(spark, claims({"claim_id": "new"}, *invalid, *undecided), MAY, layers, options=OPTIONS)
+    assert cells(spark.table(layers.table("fact_claims")), "claim_id") == [("CLM1",)]
+
+
 def test_failed_gate_leaves_gold_alone(spark, claims, layers):
     late = {"ingestion_ts": dt.datetime(2001, 8, 1)}
     with pytest.raises(ValueError, match="timeliness"):

@@ -194,6 +194,7 @@ def test_run_counts(spark, claims, layers):
         "output_records": 1,
         "quarantined": 1,
         "undecided": 1,
+        "quality": {"present": 12, "unbroken": 1, "on_time": 3},
         "status": "SUCCESS",
     }
 
