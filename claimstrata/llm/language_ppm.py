@@ -25,7 +25,7 @@ count once in training (smallest text) and are predicted each by its own text.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +67,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _place(doc_id: str) -> Column:
+    """A fixed random place of an id, from 0 to 2^32 - 1."""
+    return F.shiftrightunsigned(F.xxhash64(doc_id), 32)
+
+
 def training_texts(docs: DataFrame, sample: Sample) -> dict[str, list[bytes]]:
     """The bounded sample: texts per language, in a fixed order."""
     labelled = docs.select("doc_id", "text", "lang").where(
@@ -75,10 +80,16 @@ def training_texts(docs: DataFrame, sample: Sample) -> dict[str, list[bytes]]:
         & F.col("doc_id").isNotNull()
         & ~held_out(F.col("doc_id"))
     )
-    # Ids first: texts of rows that are not chosen never move.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # Ids first: texts of rows that are not chosen never move.  Rows far beyond the
+    # wanted rank are dropped by their hash before a language's rows meet.
+    order = Window.partitionBy("lang").orderBy(_place("doc_id"), "doc_id")
+    n = dict(labelled.groupBy("lang").count().collect())
+    below = F.lit(0)
+    for lang, rows in n.items():
+        below = F.when(F.col("lang") == lang, min(1 << 32, (sample.docs << 34) // rows)).otherwise(below)
     ids = (
-        labelled.groupBy("lang", "doc_id")
+        labelled.where(_place("doc_id") < below)
+        .groupBy("lang", "doc_id")
         .agg(F.lit(1))
         .withColumn("__rank", F.row_number().over(order))
         .where(F.col("__rank") <= sample.docs)
@@ -208,13 +219,14 @@ def identify_languages(
     Columns of `docs` that are called as in `names` are replaced.
     """
     tables = build_tables(training_texts(docs if model_docs is None else model_docs, sample or Sample()))
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    # Plain arrays: workers need no copy of this module to read them.
+    shared = docs.sparkSession.sparkContext.broadcast(tables and astuple(tables))
     rest = [c for c in docs.columns if c not in names]
     read = own_name(docs, "text_bytes")
     lettered = F.when(F.col("text").rlike(r"\p{L}"), F.col("text").cast("binary")).alias(read)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
+        tables = shared.value and PpmTables(*shared.value)
         for batch in batches:
             said = [
                 predict(text.as_buffer().to_pybytes(), tables) if text.is_valid else (UNDETERMINED, 0.0)
