@@ -156,7 +156,8 @@ def plan_mix(docs: DataFrame, mix: Mix) -> DataFrame:
             "epochs",
             "stretch",
             F.lit(max(1, round(mix.budget * tokens / mix.block_tokens))).alias("n_blocks"),
-            F.greatest(F.col("cut_bin") / float(BINS) - 2.0**-53, "last_place").alias("cut"),
+            # Without a budget there is no cut: nothing of the source is taken.
+            F.when(F.col("budget") > 0, F.greatest(F.col("cut_bin") / float(BINS) - 2.0**-53, "last_place")).alias("cut"),
         )
     )
 
@@ -186,7 +187,7 @@ def mix_sources(docs: DataFrame, mix: Mix | None = None, prefix: str = "") -> Da
     copy = F.col(f"{prefix}copy")
     # The rest keeps the order in which it was cut, from the start of its epoch.
     key = F.when(copy < of["epochs"], _key(F.col("doc_id"), copy, mix)).otherwise(_key(F.col("doc_id"), -1, mix))
-    place = F.least((copy + _unit(key)) / of["stretch"], F.lit(1 - 2.0**-53))
+    place = F.least(F.try_divide(copy + _unit(key), of["stretch"]), F.lit(1 - 2.0**-53))
     return (
         docs.join(plan, docs["source"].eqNullSafe(of["source"]))
         .withColumn(spare["copies"], of["epochs"] + extra)
