@@ -41,7 +41,7 @@ MAX_RANGES = 4096
 
 @dataclass(frozen=True)
 class IMatch:
-    """Band as shares of all documents; subsets of 1 / 2^level for each draw."""
+    """Band as shares of all documents; subsets of 1 / 2^level (8 at most) per draw."""
 
     least_share: float = 0.001
     most_share: float = 0.1
@@ -88,32 +88,43 @@ def in_lexicon(terms: Column, bitmap: Column) -> Column:
     return F.when(F.size(kept) > 0, kept).otherwise(terms)
 
 
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def with_fingerprint(df: DataFrame, terms: str, name: str, settings: IMatch) -> DataFrame:
     """`df` with the hashes of the sorted terms in each lexicon subset.
 
     An entry is NULL where the subset has none of the terms.  Entry 0 stands for
-    the whole lexicon; subset `level` of a draw holds the terms whose hash under
-    that draw ends in `level` zero bits.
+    the whole lexicon; subset `level` of a draw holds the terms whose eight bits
+    for that draw begin with `level` zeros.  One hash has bits for eight draws.
     """
 
-    def hashed(kept: Column) -> Column:
+    def hashed(kept: str) -> Column:
         return F.when(F.size(kept) > 0, F.xxhash64(kept))
 
-    drawn = [f"{name}_draw{draw}" for draw in range(settings.draws)]
-    masks = F.array(*[F.lit((1 << level) - 1) for level in settings.levels])
-
-    def shuffled(draw: int) -> Column:
-        return F.transform(terms, lambda t: F.xxhash64(t, F.lit(draw)))
-
-    def subsets(d: str) -> Column:
-        return F.transform(masks, lambda m: hashed(F.filter(d, lambda t: t.bitwiseAND(m) == 0)))
-
-    # The draws are columns of their own: every level filters the same array.
-    return (
-        df.withColumns({d: shuffled(draw) for draw, d in enumerate(drawn)})
-        .withColumn(name, F.concat(F.array(hashed(F.col(terms))), *map(subsets, drawn)))
-        .drop(*drawn)
-    )
+    def rehashed(seed: int) -> Column:
+        return F.transform(terms, lambda t: F.xxhash64(t, F.lit(seed)))
+
+    def thinned(array: str, mask: int) -> Column:
+        return F.filter(array, lambda t: t.bitwiseAND(F.lit(_signed(mask))) == 0)
+
+    draws = range(settings.draws)
+    seeds = [f"{name}_seed{i}" for i in range(-(-settings.draws // 8))]
+    left = {draw: f"{name}_left{draw}" for draw in draws}
+    entries = [f"{name}_whole"]
+    df = df.withColumns({c: rehashed(i) for i, c in enumerate(seeds)} | {entries[0]: hashed(terms)})
+    # Each level filters what the one before has left.
+    before = {draw: seeds[draw // 8] for draw in draws}
+    for level in settings.levels:
+        df = df.withColumns(
+            {left[d]: thinned(before[d], ((1 << level) - 1) << 8 * (d % 8)) for d in draws}
+        )
+        found = {f"{name}_hash{level}_{d}": hashed(left[d]) for d in draws}
+        df = df.withColumns(found)
+        entries += found
+        before = left
+    return df.withColumn(name, F.array(*entries)).drop(*seeds, *left.values(), *entries)
 
 
 def likeness(a: Column, b: Column) -> Column:
