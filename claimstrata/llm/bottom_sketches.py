@@ -8,14 +8,15 @@ shingle.  Documents are linked if their sets' Jaccard similarity is at least
 1. Each text yields the size of its set, a 128-bit digest of it, and its sketch,
    the k smallest hashes.  Equal sets form one class from here on.
 2. Inverted lists: a linked pair has at least `least_overlap` of its retained
-   values in common, so it meets in a list of one of the values that are rarest
-   among each class's own (all but its `least_overlap` - 1 most frequent).
+   values in common, so it meets in `least_meetings` lists of the values that are
+   rarest among each class's own (all but a fixed number of its most frequent).
    Lists are cut by set size, since linked sets differ by a quarter at most.
-3. Each list has a hub, its member with the most frequent values.  Members of
-   all lists of a hub are compared with the hub: the union of two sketches up to
-   the smaller bound estimates the similarity, pairs far below are dropped, the
-   others are confirmed on full sets.  A tight group of copies ends here, with
-   one comparison per member.
+   Pairs of small lists are counted: those that meet often enough are compared.
+3. Each large list has a hub, its member with the most frequent values, and all
+   its members are compared with the hub, so a pair with any meeting in a large
+   list is in one group there.  The union of two sketches up to the smaller bound
+   estimates the similarity, pairs far below are dropped, the others are confirmed
+   on full sets.  A tight group of copies ends here, with one comparison each.
 4. Members not linked to their hub are compared with each other and with those
    linked members that can reach them: Jaccard distance is a metric, so distances
    from the hub that differ by more than the link distance rule a pair out.
@@ -55,6 +56,8 @@ class NearDuplicates:
     least_percent: int = 80
     k: int = 64
     least_overlap: int = 28
+    least_meetings: int = 3
+    small_list: int = 8
     block: int = 128
 
 
@@ -66,6 +69,7 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _32 = np.uint64(32)
+FILTER_BITS = 1 << 22
 _powers: list[np.ndarray] = []
 
 
@@ -147,26 +151,63 @@ def sketches(docs: DataFrame, settings: NearDuplicates) -> DataFrame:
     )
 
 
+def _filter_words(ids: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS places in which those of the doc_ids are set."""
+    bit = F.expr("shiftleft(1L, CAST(place & 63 AS INT))")
+    rows = (
+        ids.select(_filter_place("doc_id").alias("place"))
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.bit_or(bit).alias("bits"))
+        .collect()  # at most FILTER_BITS / 64 rows
+    )
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in rows:
+        words[row["word"]] = row["bits"]
+    return words.view(np.uint64)
+
+
+def _filter_place(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(FILTER_BITS))
+
+
 def full_sets(docs: DataFrame, classes: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """(cls, hashes): the whole sets of `classes` (cls, doc_id, d1, d2)."""
+    """(cls, hashes): the whole sets of `classes` (cls, doc_id, d1, d2).
+
+    A bitmap of fixed size spares most other documents the shuffle; those that it
+    lets through are sorted out by the join.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_words(classes))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
         for batch in batches:
-            sets = [shingle_set(t.as_py(), settings.width) for t in batch["__text"]]
-            wanted = list(zip(batch["d1"].to_pylist(), batch["d2"].to_pylist()))
-            # A row that repeats a doc_id with another text has another digest.
-            same = [i for i, s in enumerate(sets) if digest(s) == wanted[i]]
+            place = batch["__place"].to_numpy().astype(np.uint64)
+            met = np.flatnonzero((words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1))
+            kept = batch.take(pa.array(met))
+            sets = [shingle_set(t.as_py(), settings.width) for t in kept["__text"]]
+            digests = [digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch["cls"].take(pa.array(same, pa.int64())), _lists([sets[i] for i in same])], names=["cls", "hashes"]
+                [
+                    kept["doc_id"],
+                    pa.array([d[0] for d in digests], pa.int64()),
+                    pa.array([d[1] for d in digests], pa.int64()),
+                    _lists(sets),
+                ],
+                names=["doc_id", "d1", "d2", "hashes"],
             )
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("__text"))
+    # The digest tells rows apart that repeat a doc_id with another text; equal
+    # rows are one before they meet the classes.
+    key = ["doc_id", "d1", "d2"]
     return (
-        texts.join(classes, "doc_id")
-        .select("cls", "d1", "d2", "__text")
-        .mapInArrow(build, "cls bigint, hashes array<bigint>")
-        .groupBy("cls")
+        docs.where(F.col("doc_id").isNotNull())
+        .select("doc_id", F.col("text").cast("binary").alias("__text"), _filter_place("doc_id").alias("__place"))
+        .mapInArrow(build, f"doc_id {id_type}, d1 bigint, d2 bigint, hashes array<bigint>")
+        .groupBy(*key)
         .agg(F.first("hashes").alias("hashes"))
+        .join(classes, key)
+        .select("cls", "hashes")
     )
 
 
@@ -178,35 +219,57 @@ def overlap_threshold(settings: NearDuplicates) -> Column:
 
 
 def hub_groups(classes: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """(hub, x, overlaps): members of the inverted lists under each list's hub."""
+    """(hub, x) pairs to compare: members of large lists under each list's hub, and
+    pairs that meet in at least `least_meetings` small lists."""
     values = classes.select("cls", "n", F.explode("sketch").alias("v"))
     frequency = values.groupBy("v").agg(F.count("*").alias("df")).where(F.col("df") > 1)
     per_class = Window.partitionBy("cls")
+    meetings = F.least(F.lit(settings.least_meetings), F.col("least"))
     shared = (
         values.join(frequency, "v")
         .withColumn("n_shared", F.count("*").over(per_class))
         .withColumn("rank", F.row_number().over(per_class.orderBy("df", "v")))
         .withColumn("fame", F.sum(F.round(F.log("df") * 1000).cast("bigint")).over(per_class))
+        .withColumn("least", overlap_threshold(settings).cast("int"))
+        .withColumn("meetings", meetings)
     )
-    # Unshared values come first in the order, so they use up the prefix.
-    prefix = shared.where(F.col("rank") <= F.col("n_shared") - overlap_threshold(settings) + 1)
+    # Unshared values come first in the order, so they use up the prefix.  Linked
+    # classes have `least` values in common, so `meetings` of them are in both prefixes.
+    prefix = shared.where(F.col("rank") <= F.col("n_shared") - F.col("least") + F.col("meetings"))
     size = F.floor(F.log("n") / math.log(100 / settings.least_percent)).cast("int")
-    lists = prefix.select(
-        "v", "cls", F.struct("fame", -F.col("cls"), "cls").alias("standing"), F.explode(F.array(size, size + 1)).alias("size")
+    lists = prefix.withColumn("own", size).select(
+        "v",
+        "cls",
+        "own",
+        "meetings",
+        F.struct("fame", -F.col("cls"), "cls").alias("standing"),
+        F.explode(F.array("own", F.col("own") + 1)).alias("size"),
     )
     hubs = (
         lists.groupBy("v", "size")
         .agg(F.count("*").alias("members"), F.max("standing").alias("top"))
         .where(F.col("members") > 1)
-        .select("v", "size", F.col("top.cls").alias("hub"))
+        .select("v", "size", "members", F.col("top.cls").alias("hub"))
     )
-    return (
-        lists.select("v", "size", F.col("cls").alias("x"))
-        .join(hubs, ["v", "size"])
-        .where(F.col("x") != F.col("hub"))
-        .groupBy("hub", "x")
-        .agg(F.count("*").alias("overlaps"))
+    met = lists.drop("standing").join(hubs, ["v", "size"])
+    large = met.where(F.col("members") > settings.small_list).select("hub", F.col("cls").alias("x"))
+    # Small lists are written out: at most `small_list` members, each pair where
+    # the larger of the two sizes is at home.
+    together = (
+        met.where(F.col("members") <= settings.small_list)
+        .groupBy("v", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("cls", "own", "meetings"))).alias("m"))
+    )
+    one = together.select("size", F.explode("m").alias("a"), "m")
+    pairs = (
+        one.select("size", "a", F.explode(F.filter("m", lambda b: b["cls"] > F.col("a.cls"))).alias("b"))
+        .where(F.greatest("a.own", "b.own") == F.col("size"))
+        .groupBy(F.col("a.cls").alias("hub"), F.col("b.cls").alias("x"))
+        .agg(F.count("*").alias("n"), F.min(F.least("a.meetings", "b.meetings")).alias("wanted"))
+        .where(F.col("n") >= F.col("wanted"))
+        .select("hub", "x")
     )
+    return large.where(F.col("x") != F.col("hub")).unionByName(pairs).distinct()
 
 
 def estimate(a: Column, b: Column, k: int) -> Column:
