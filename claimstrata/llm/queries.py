@@ -16,7 +16,7 @@ from claimstrata.llm.length_buckets import pack
 from claimstrata.llm.license_templates import scan_licenses
 from claimstrata.llm.quote_links import reply_order
 from claimstrata.llm.shared import table
-from claimstrata.llm.target_ratio import QualityLimits, judge_quality, trusted_ids
+from claimstrata.llm.target_ratio import QualityLimits, judge_quality, trusted_rows
 from claimstrata.llm.temperature_mix import mix_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,7 @@ def op8_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = trusted_ids(table(spark, sf_dir, "labels"), QualityLimits())
+    trusted = trusted_rows(table(spark, sf_dir, "labels"), QualityLimits())
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge_quality(docs, trusted).drop("text")
 

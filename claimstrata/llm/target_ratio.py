@@ -1,12 +1,17 @@
 """Quality rules: base counts of a text, and how it compares with trusted texts.
 
-Words and word pairs are hashed into a fixed number of buckets.  Two multinomials
-over the buckets, one of a bounded sample of trusted documents and one of the
-whole corpus, give a log-likelihood ratio for each bucket.  A document's score is
-the mean ratio of its words and pairs; it is kept if the score reaches a fixed
-threshold and the base rules hold.  Both counts come from one pass over all
-documents that sums up before it shuffles; what is broadcast are `BUCKETS`
-numbers, and each text is judged within its own row, without a shuffle.
+Words and word pairs are hashed into buckets, one for every `LOAD` words and pairs
+of the corpus and `BUCKETS` at least, so the model grows with the input and a
+bucket mixes equally many of them at any size.  Two multinomials over the buckets,
+one of all trusted documents and one of the whole corpus, give a log-likelihood
+ratio for each bucket.  A document's score is the mean ratio of its words and
+pairs; it is kept if the score reaches a fixed threshold and the base rules hold.
+
+One pass counts words, one counts buckets and sums up before it shuffles, one
+judges.  Up to `BROADCAST_BUCKETS` buckets the ratios are one array (4 bytes each)
+that every task holds, and each text is judged within its own row; beyond, the
+documents are stored with a row number and their buckets are joined with the
+ratios.  Up to `BROADCAST_IDS` trusted ids are broadcast, more are joined.
 
 Cases: NULL and empty texts have no words and fail the base rules; a table
 without trusted documents gives ratio 0 everywhere, so the base rules decide;
@@ -16,15 +21,21 @@ table beyond doc_id and text are passed through untouched or not read.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimstrata.llm.shared import array_literal, own_name, split_words
+from claimstrata.llm.shared import own_name, split_words, stored
 
+# Least number of buckets, and words and pairs for each bucket of a larger corpus.
 BUCKETS = 8192
+LOAD = 32
+# Bounds of what is broadcast: 32 MiB of ratios, 8 MB of ids.
+BROADCAST_BUCKETS = 1 << 23
+BROADCAST_IDS = 1_000_000
 SYMBOLS = r"[#*$%&|<>]"
 # Ratios are kept as whole ten-thousandths: short to send, exact to add.
 SCALE = 10_000
@@ -37,8 +48,8 @@ class QualityLimits:
     max_repeat_percent: int = 50
     # Least mean log ratio (natural logarithm) of a kept document.
     least_ratio: float = -0.20
-    # Bound of the trusted sample, smallest hashes of doc_id first.
-    trusted_docs: int = 2000
+    # All trusted documents, or so many: smallest hashes of doc_id first.
+    trusted_docs: int | None = None
     smoothing: float = 1.0
 
 
@@ -56,47 +67,96 @@ def pair_hashes(left: Column, words: Column, skip: int) -> Column:
     return F.zip_with(F.slice(left, F.lit(1), F.size(right)), right, lambda a, b: F.xxhash64(a, b))
 
 
-def trusted_ids(labels: DataFrame, limits: QualityLimits) -> list[int]:
-    """A bounded sample of documents labelled good and not toxic."""
+def trusted_rows(labels: DataFrame, limits: QualityLimits) -> DataFrame:
+    """doc_id of the documents labelled good and not toxic, each once."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    chosen = good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limits.trusted_docs)
-    return [row["doc_id"] for row in chosen.collect()]
+    chosen = good.select("doc_id").distinct()
+    if limits.trusted_docs is None:
+        return chosen
+    return chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limits.trusted_docs)
+
+
+def trusted_ids(labels: DataFrame, limits: QualityLimits) -> list[int]:
+    """The same on the driver, for few ids."""
+    return [row["doc_id"] for row in trusted_rows(labels, limits).collect()]
+
+
+def _marked(docs: DataFrame, trusted: DataFrame | list[int]) -> DataFrame:
+    """text, trusted (boolean) of each row."""
+    if isinstance(trusted, list):
+        is_trusted = F.col("doc_id").isin(trusted) if trusted else F.lit(False)
+        return docs.select("text", is_trusted.alias("trusted"))
+    ids = trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("trusted", F.lit(True))
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left").select("text", "trusted")
+
+
+def bucket_number(docs: DataFrame) -> int:
+    """Number of buckets for the words and pairs of all rows."""
+    n_words = F.size(split_words(F.col("text"))).cast("bigint")
+    total = docs.select(F.sum(F.greatest(2 * n_words - 1, F.lit(0)))).first()[0] or 0
+    return max(BUCKETS, -(-total // LOAD))
+
 
+def _bucket(gram: Column, n_buckets: int) -> Column:
+    return F.pmod(gram, F.lit(n_buckets).cast("bigint"))
 
-def bucket_counts(docs: DataFrame, trusted: list[int]) -> DataFrame:
+
+def bucket_counts(docs: DataFrame, trusted: DataFrame | list[int], n_buckets: int) -> DataFrame:
     """bucket, n (all documents), n_trusted: words and word pairs of the corpus."""
-    is_trusted = F.col("doc_id").isin(trusted) if trusted else F.lit(False)
-    hashed = docs.select(is_trusted.alias("trusted"), word_hashes(split_words(F.col("text"))).alias("words"))
+    hashed = _marked(docs, trusted).select("trusted", word_hashes(split_words(F.col("text"))).alias("words"))
     grams = hashed.select(
         "trusted", F.explode(F.concat("words", pair_hashes(F.col("words"), F.col("words"), 1))).alias("gram")
     )
-    return grams.groupBy(F.pmod("gram", F.lit(BUCKETS)).cast("int").alias("bucket")).agg(
+    return grams.groupBy(_bucket(F.col("gram"), n_buckets).alias("bucket")).agg(
         F.count("*").alias("n"), F.count_if("trusted").alias("n_trusted")
     )
 
 
-def log_ratios(counts: DataFrame, smoothing: float) -> list[int]:
-    """Scaled log ratio of each bucket; all 0 without trusted counts."""
-    totals = {row["bucket"]: (row["n"], row["n_trusted"]) for row in counts.collect()}  # at most BUCKETS rows
-    all_n = sum(n for n, _ in totals.values())
-    all_trusted = sum(t for _, t in totals.values())
+def log_ratios(counts: DataFrame, n_buckets: int, smoothing: float) -> DataFrame:
+    """bucket, ratio: scaled log ratio of each bucket in use; all 0 without trusted counts."""
+    all_n, all_trusted = counts.select(F.sum("n"), F.sum("n_trusted")).first()
     if not all_trusted:
-        return [0] * BUCKETS
-    more = smoothing * BUCKETS
-    ratios = []
-    for bucket in range(BUCKETS):
-        n, t = totals.get(bucket, (0, 0))
-        ratio = math.log((t + smoothing) / (all_trusted + more)) - math.log((n + smoothing) / (all_n + more))
-        ratios.append(round(ratio * SCALE))
-    return ratios
+        return counts.select("bucket", F.lit(0).alias("ratio"))
+    more = smoothing * n_buckets
+    log_share = lambda n, whole: F.log((F.col(n) + smoothing) / F.lit(whole + more))
+    ratio = log_share("n_trusted", all_trusted) - log_share("n", all_n)
+    return counts.select("bucket", F.round(ratio * SCALE).cast("int").alias("ratio"))
+
+
+def _ratio_array(ratios: DataFrame, n_buckets: int) -> Column:
+    """The ratios of at most BROADCAST_BUCKETS buckets as one array, by bucket.
 
+    A scalar subquery travels with the tasks as plain bytes, not as a literal of the plan.
+    """
+    found = ratios.toArrow()
+    values = np.zeros(n_buckets, np.int32)
+    values[found["bucket"].to_numpy()] = found["ratio"].to_numpy()
+    array = pa.ListArray.from_arrays(pa.array([0, n_buckets], pa.int32()), pa.array(values))
+    return ratios.sparkSession.createDataFrame(pa.table({"ratios": array})).scalar()
 
-def _ratio_sum(grams: Column, ratios: Column) -> Column:
+
+def _ratio_sum(grams: Column, ratios: Column, n_buckets: int) -> Column:
     return F.aggregate(
-        grams, F.lit(0).cast("bigint"), lambda acc, g: acc + F.get(ratios, F.pmod(g, F.lit(BUCKETS)).cast("int"))
+        grams, F.lit(0).cast("bigint"), lambda acc, g: acc + F.get(ratios, _bucket(g, n_buckets).cast("int"))
     )
 
 
+def _joined_sums(docs: DataFrame, ratios: DataFrame, n_buckets: int, name: str) -> DataFrame:
+    """`docs` and the sum of ratios of each row's words and pairs, for any number of buckets."""
+    row = own_name(docs, name + "_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    words = word_hashes(split_words(F.col("text")))
+    grams = rows.select(row, words.alias("words")).select(
+        row, F.explode(F.concat("words", pair_hashes(F.col("words"), F.col("words"), 1))).alias("gram")
+    )
+    # A bucket's ratio meets each row once, however often the row has it.
+    each = grams.groupBy(row, _bucket(F.col("gram"), n_buckets).alias("bucket")).agg(F.count("*").alias("n"))
+    sums = each.join(ratios, "bucket").groupBy(row).agg(F.sum(F.col("n") * F.col("ratio")).alias(name))
+    return rows.join(sums, row, "left").drop(row)
+
+
 def _repeat_words(places: Column) -> Column:
     """Words under the three-word windows that start at the sorted `places`."""
     start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last"))
@@ -108,14 +168,31 @@ def _repeat_words(places: Column) -> Column:
     )
 
 
-def judge_quality(docs: DataFrame, trusted: list[int], limits: QualityLimits | None = None, prefix: str = "") -> DataFrame:
+def judge_quality(
+    docs: DataFrame, trusted: DataFrame | list[int], limits: QualityLimits | None = None, prefix: str = ""
+) -> DataFrame:
     """All columns of `docs` and the counts, score and verdict, named with `prefix`."""
     limits = limits or QualityLimits()
-    ratios = array_literal(log_ratios(bucket_counts(docs, trusted), limits.smoothing), "int")
+    n_buckets = bucket_number(docs)
+    counts = stored(bucket_counts(docs, trusted, n_buckets), "buckets")
+    ratios = log_ratios(counts, n_buckets, limits.smoothing)
     col = lambda name: F.col(prefix + name)
-    words, hashes, pairs, windows, ordered, lines = (
-        own_name(docs, f"{prefix}__{n}") for n in ("words", "hashes", "pairs", "windows", "ordered", "lines")
+    words, hashes, pairs, windows, ordered, lines, grams, array, total = (
+        own_name(docs, f"{prefix}__{n}")
+        for n in ("words", "hashes", "pairs", "windows", "ordered", "lines", "grams", "array", "total")
     )
+    if n_buckets <= BROADCAST_BUCKETS:
+        array_of_ratios = _ratio_array(ratios, n_buckets)
+        # One step names both and the next uses each once, so the optimizer merges
+        # the steps; as a column the array would be copied for every row.
+        with_sum = lambda df: (
+            df.withColumns({array: array_of_ratios, grams: F.concat(hashes, pairs)})
+            .withColumn(total, _ratio_sum(F.col(grams), F.col(array), n_buckets))
+            .drop(array, grams)
+        )
+    else:
+        docs = _joined_sums(docs, ratios, n_buckets, total)
+        with_sum = lambda df: df
     text = F.coalesce(F.col("text"), F.lit(""))
     same = lambda a, b: F.get(F.col(ordered), b)["gram"].eqNullSafe(a)
     n_grams = F.size(hashes) + F.size(pairs)
@@ -137,12 +214,11 @@ def judge_quality(docs: DataFrame, trusted: list[int], limits: QualityLimits | N
         )
         .drop(words, lines)
         .withColumn(pairs, pair_hashes(F.col(hashes), F.col(hashes), 1))
+        .transform(with_sum)
         .withColumn(windows, pair_hashes(F.col(pairs), F.col(hashes), 2))
         .withColumns(
             {
-                f"{prefix}ratio": F.when(
-                    n_grams > 0, (_ratio_sum(F.col(hashes), ratios) + _ratio_sum(F.col(pairs), ratios)) / n_grams / SCALE
-                ),
+                f"{prefix}ratio": F.when(n_grams > 0, F.col(total) / n_grams / SCALE),
                 # Only texts with a repeated window are sorted.
                 ordered: F.when(
                     F.size(F.array_distinct(windows)) < F.size(windows),
@@ -150,7 +226,7 @@ def judge_quality(docs: DataFrame, trusted: list[int], limits: QualityLimits | N
                 ),
             }
         )
-        .drop(hashes, pairs, windows)
+        .drop(hashes, pairs, windows, total)
         .withColumn(f"{prefix}n_repeat_words", F.when(F.col(ordered).isNotNull(), _repeat_words(places)).otherwise(F.lit(0)).cast("bigint"))
         .drop(ordered)
     )
@@ -162,7 +238,7 @@ def judge_quality(docs: DataFrame, trusted: list[int], limits: QualityLimits | N
     )
 
 
-def keep_good(docs: DataFrame, trusted: list[int], limits: QualityLimits | None = None) -> DataFrame:
+def keep_good(docs: DataFrame, trusted: DataFrame | list[int], limits: QualityLimits | None = None) -> DataFrame:
     """Documents that pass, as they are."""
     prefix = own_name(docs, "quality") + "__"
     judged = judge_quality(docs, trusted, limits, prefix)

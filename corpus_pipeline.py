@@ -16,7 +16,7 @@ from claimstrata.llm.bottom_sketches import keep_one_of_each
 from claimstrata.llm.language_ppm import keep_identified
 from claimstrata.llm.length_buckets import pack
 from claimstrata.llm.shared import stored, table
-from claimstrata.llm.target_ratio import QualityLimits, keep_good, trusted_ids
+from claimstrata.llm.target_ratio import QualityLimits, keep_good, trusted_rows
 from claimstrata.llm.temperature_mix import mixed_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,7 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the ratio to trusted texts."""
-    return keep_good(docs, trusted_ids(table(spark, sf_dir, "labels"), QualityLimits()))
+    return keep_good(docs, trusted_rows(table(spark, sf_dir, "labels"), QualityLimits()))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

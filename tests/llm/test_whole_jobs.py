@@ -1,0 +1,55 @@
+"""The whole of a job where an operator once did part of it."""
+
+import pytest
+from samples import documents, rows_of, sentence
+
+from claimstrata.llm import target_ratio
+from claimstrata.llm.target_ratio import QualityLimits
+from conftest import SF_DIR
+
+# --- quality ----------------------------------------------------------------
+
+
+def good_and_junk(n):
+    """n documents, each fifth of them junk that repeats no word, the others on n / 40 topics: rows and labels."""
+    rows, labels = [], []
+    for i in range(n):
+        junk = i % 5 == 0
+        rows.append((i, " ".join(f"%{i}x{k}" for k in range(150)) if junk else sentence(i % (n // 40 or 1), 150)))
+        labels.append((i, int(not junk), 0))
+    return rows, labels
+
+
+def test_the_model_grows_with_the_corpus(spark):
+    sizes = [target_ratio.bucket_number(documents(spark, good_and_junk(n)[0])) for n in (10, 1000, 2000)]
+    assert sizes[0] == target_ratio.BUCKETS
+    assert sizes[1:] == [-(-n * 299 // target_ratio.LOAD) for n in (1000, 2000)]
+
+
+@pytest.mark.parametrize("n", [400, 4000])
+def test_junk_goes_at_any_size(spark, n):
+    rows, labels = good_and_junk(n)
+    trusted = target_ratio.trusted_rows(spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), QualityLimits())
+    assert trusted.count() == n - n // 5
+    kept = target_ratio.keep_good(documents(spark, rows), trusted)
+    assert {r[0] for r in rows_of(kept, "doc_id")} == {i for i in range(n) if i % 5}
+
+
+def test_joined_ratios_equal_broadcast_ones(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(None, "no id"), (-1, None), (-2, ""), (3, "a repeated id")], docs.schema)
+    docs = docs.unionByName(odd)
+    trusted = target_ratio.trusted_rows(spark.read.parquet(f"{SF_DIR}/labels.parquet"), QualityLimits())
+    ids = [r["doc_id"] for r in trusted.collect()]
+    monkeypatch.setattr(target_ratio, "LOAD", 4)
+    plain = sorted(map(str, target_ratio.judge_quality(docs, ids).collect()))
+    assert sorted(map(str, target_ratio.judge_quality(docs, trusted).collect())) == plain
+    monkeypatch.setattr(target_ratio, "BROADCAST_BUCKETS", 0)
+    monkeypatch.setattr(target_ratio, "BROADCAST_IDS", 0)
+    assert sorted(map(str, target_ratio.judge_quality(docs, trusted).collect())) == plain
+
+
+def test_ratios_do_not_travel_as_a_column(spark):
+    rows, _ = good_and_junk(20)
+    plan = target_ratio.judge_quality(documents(spark, rows), [1, 2])._jdf.queryExecution().optimizedPlan().toString()
+    assert "__array" not in plan and "scalar-subquery" in plan
