@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimstrata.llm.bottom_sketches import keep_one_of_each
+from claimstrata.llm.bottom_sketches import NearDuplicates, keep_one_of_each
 from claimstrata.llm.language_ppm import keep_identified
 from claimstrata.llm.length_buckets import pack
 from claimstrata.llm.shared import stored, table
@@ -33,8 +33,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return keep_one_of_each(docs)
+    """One document of each group of near-duplicates: five-word shingles, Jaccard 0.8."""
+    return keep_one_of_each(docs, NearDuplicates(width=5))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

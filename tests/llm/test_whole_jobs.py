@@ -1,8 +1,12 @@
 """The whole of a job where an operator once did part of it."""
 
+import itertools
+
 import pytest
 from samples import documents, rows_of, sentence
+from test_corpus_operators import mutated, near_rows, shingles
 
+import corpus_pipeline
 from claimstrata.llm import target_ratio
 from claimstrata.llm.target_ratio import QualityLimits
 from conftest import SF_DIR
@@ -53,3 +57,33 @@ def test_ratios_do_not_travel_as_a_column(spark):
     rows, _ = good_and_junk(20)
     plan = target_ratio.judge_quality(documents(spark, rows), [1, 2])._jdf.queryExecution().optimizedPlan().toString()
     assert "__array" not in plan and "scalar-subquery" in plan
+
+
+# --- near-duplicates --------------------------------------------------------
+
+
+def kept_of_all_pairs(rows, width):
+    """The smallest id of each component, by brute force."""
+    sets = {i: shingles(t, width) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(sets, 2):
+        a, b = sets[i], sets[j]
+        if a and b and 100 * len(a & b) >= 80 * len(a | b):
+            low, high = sorted((find(i), find(j)))
+            root[high] = low
+    return {find(i) for i in sets}
+
+
+def test_the_near_dedup_stage_takes_five_words(spark):
+    base = sentence(77, 200)
+    rows = near_rows() + [(600, base), (601, mutated(base, 20, "y")), (602, mutated(base, 90, "z"))]
+    expected = kept_of_all_pairs(rows, 5)
+    assert 601 in expected - kept_of_all_pairs(rows, 2) and 602 not in expected
+    kept = corpus_pipeline.near_dedup(spark, documents(spark, rows), SF_DIR)
+    assert {r[0] for r in rows_of(kept, "doc_id")} == expected
