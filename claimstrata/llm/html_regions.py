@@ -5,11 +5,12 @@ line its text, its tags and its link text are counted, and lines inside menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments have no ratio.  The ratios (characters per tag) are smoothed along the
 page with a Gaussian and clustered by a threshold, one standard deviation's share
-of the page.  The article is the deepest container (article, main, or an element
-named so; at last the body) that holds most of the smoothed text of the cluster;
-all of its own lines are content, short ones included.  Without such a container
-the region runs from the first to the last line of the cluster, without lines
-that are mostly links.
+of the page.  The main text is the outermost article or main, else the outermost
+element named so, that holds nearly all text of the cluster; a main or a named
+element gives way to one inside it only where all else in it is boilerplate or
+lines that are mostly links, headings apart.  All of its own lines are content,
+short ones included.  Without such a container it is the body: all lines, but
+before and after the cluster's text none that are mostly links, headings apart.
 
 Each line is one block of the result: white space runs become one space, blocks
 are joined by an empty line.  Nothing is cut: pages are parsed whole.
@@ -49,6 +50,9 @@ BOILERPLATE_NAMES = frozenset(
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu".split())
 ROOT_TAGS = frozenset(("article", "main"))
 ROOT_NAMES = frozenset("article content entry main post story".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Share of the cluster's text that a container must hold, in percent.
+NEARLY_ALL = 90
 SIGMA = 1.5
 CHUNK = 1 << 16
 _NAME = re.compile(r"[A-Za-z0-9]+")
@@ -65,6 +69,11 @@ class Line:
     n_link: int
     roots: tuple[int, ...]
     boilerplate: bool
+    heading: bool
+
+    @property
+    def mostly_links(self) -> bool:
+        return 2 * self.n_link > len(self.text) and not self.heading
 
     @property
     def ratio(self) -> float:
@@ -79,7 +88,9 @@ class LineReader(HTMLParser):
         self.lines: list[Line] = []
         self.stack: list[tuple[str, bool, tuple[int, ...]]] = []
         self.parts: list[str] = []
-        self.n_tags = self.n_link = self.n_roots = self.links = 0
+        self.n_tags = self.n_link = self.links = 0
+        # Tag of each container in page order, None where only its name says so.
+        self.roots: list[str | None] = []
 
     @property
     def boilerplate(self) -> bool:
@@ -89,7 +100,8 @@ class LineReader(HTMLParser):
         text = _SPACES.sub(" ", "".join(self.parts)).strip()
         if text:
             roots = self.stack[-1][2] if self.stack else ()
-            self.lines.append(Line(text, self.n_tags, self.n_link, roots, self.boilerplate))
+            heading = any(tag in HEADINGS for tag, _, _ in self.stack)
+            self.lines.append(Line(text, self.n_tags, self.n_link, roots, self.boilerplate, heading))
         self.parts = []
         self.n_tags = self.n_link = 0
 
@@ -117,7 +129,8 @@ class LineReader(HTMLParser):
             self.n_tags += 1
         boilerplate, roots = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (False, ())
         if not boilerplate:
-            is_root = tag in ROOT_TAGS
+            root = tag if tag in ROOT_TAGS else None
+            is_root = root is not None
             boilerplate = tag in BOILERPLATE
             if attrs and not boilerplate and tag not in ("html", "body"):
                 names = set()
@@ -127,7 +140,8 @@ class LineReader(HTMLParser):
                     elif key == "role":
                         role = (value or "").strip().lower()
                         boilerplate |= role in BOILERPLATE_ROLES
-                        is_root |= role in ("main", "article")
+                        root = root or (role if role in ROOT_TAGS else None)
+                        is_root = root is not None
                     elif key == "hidden" or key == "aria-hidden" and value == "true":
                         boilerplate = True
                     elif key == "style" and re.search(r"display\s*:\s*none", value or "", re.I):
@@ -136,8 +150,8 @@ class LineReader(HTMLParser):
                     boilerplate |= not names.isdisjoint(BOILERPLATE_NAMES)
                     is_root = tag in ("div", "section", "td") and not names.isdisjoint(ROOT_NAMES)
             if is_root and not boilerplate:
-                self.n_roots += 1
-                roots = (*roots, self.n_roots)
+                roots = (*roots, len(self.roots))
+                self.roots.append(root)
         self.links += tag == "a"
         self.stack.append((tag, boilerplate, roots))
 
@@ -179,12 +193,13 @@ class LineReader(HTMLParser):
             self.n_link += len(data)
 
 
-def read_lines(html: str) -> list[Line]:
+def read_lines(html: str) -> tuple[list[Line], list[str | None]]:
+    """The page's lines and its containers."""
     reader = LineReader()
     for at in range(0, len(html), CHUNK):
         reader.feed(html[at : at + CHUNK])
     reader.close()
-    return reader.lines
+    return reader.lines, reader.roots
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -197,7 +212,7 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 def main_text(html: str | None) -> str:
     """Blocks of the main text, joined by an empty line."""
-    lines = read_lines(html or "")
+    lines, roots = read_lines(html or "")
     ratios = np.array([line.ratio for line in lines])
     if not ratios.any():
         return ""
@@ -208,16 +223,23 @@ def main_text(html: str | None) -> str:
         for root in lines[i].roots:
             mass[root] = mass.get(root, 0.0) + len(lines[i].text)
     whole = sum(len(lines[i].text) for i in np.flatnonzero(cluster))
-    # Roots are numbered in page order, inner ones after outer ones.
-    holding = [root for root, held in mass.items() if 2 * held > whole]
+    # Roots are numbered in page order, inner ones after outer ones; those that hold
+    # nearly all stand within each other.
+    holding = sorted(root for root, held in mass.items() if 100 * held >= NEARLY_ALL * whole)
     if holding:
-        chosen = [line.text for line in lines if max(holding) in line.roots and not line.boilerplate]
+        root = next((r for r in holding if roots[r]), holding[0])
+        for inner in holding:
+            outside = (line for line in lines if root in line.roots and inner not in line.roots)
+            if inner > root and roots[root] != "article" and all(x.boilerplate or x.mostly_links for x in outside):
+                root = inner
+        chosen = [line.text for line in lines if root in line.roots and not line.boilerplate]
     else:
-        first, last = np.flatnonzero(cluster)[[0, -1]]
+        texts = [i for i in np.flatnonzero(cluster) if not lines[i].mostly_links] or np.flatnonzero(cluster)
+        first, last = texts[0], texts[-1]
         chosen = [
             line.text
-            for line in lines[first : last + 1]
-            if not line.boilerplate and 2 * line.n_link <= len(line.text)
+            for i, line in enumerate(lines)
+            if not line.boilerplate and (first <= i <= last or not line.mostly_links)
         ]
     return "\n\n".join(chosen)
 

@@ -8,6 +8,7 @@ from test_corpus_operators import mutated, near_rows, shingles
 
 import corpus_pipeline
 from claimstrata.llm import target_ratio
+from claimstrata.llm.html_regions import main_text
 from claimstrata.llm.target_ratio import QualityLimits
 from conftest import SF_DIR
 
@@ -87,3 +88,48 @@ def test_the_near_dedup_stage_takes_five_words(spark):
     assert 601 in expected - kept_of_all_pairs(rows, 2) and 602 not in expected
     kept = corpus_pipeline.near_dedup(spark, documents(spark, rows), SF_DIR)
     assert {r[0] for r in rows_of(kept, "doc_id")} == expected
+
+# --- pages ------------------------------------------------------------------
+
+
+def words(n, tag):
+    return " ".join(f"{tag}{k}" for k in range(n))
+
+
+LONG = "".join(f"<p>{words(60, f'b{i}x')}</p>" for i in range(4))
+BLOCKS = [words(60, f"b{i}x") for i in range(4)]
+
+
+@pytest.mark.parametrize("name", ["entry-content", "content", "post", "story"])
+@pytest.mark.parametrize("outer", ["article", "main"])
+def test_what_stands_around_an_inner_container_stays(outer, name):
+    lead = words(50, "lead")
+    page = f"<body><nav>menu</nav><{outer}><h1><a href=x>Title</a></h1><p>{lead}</p><div class='{name}'>{LONG}</div><p>End</p></{outer}><footer>f</footer>"
+    assert main_text(page).split("\n\n") == ["Title", lead, *BLOCKS, "End"]
+
+
+def test_a_line_of_links_in_an_article_stays():
+    page = f"<article><div class=content>{LONG}</div><p><a href=x>The source</a></p></article>"
+    assert main_text(page).split("\n\n") == [*BLOCKS, "The source"]
+
+
+def test_a_menu_around_an_inner_container_goes():
+    menu = "<ul><li><a href=1>One</a><li><a href=2>Two</a></ul>"
+    for outer in ("<main>", "<div id=content>"):
+        page = f"<body>{outer}{menu}<div class=ad>Buy</div><article><h1>T</h1>{LONG}</article>{menu}"
+        assert main_text(page).split("\n\n") == ["T", *BLOCKS]
+
+
+def test_articles_that_share_the_text_all_stay():
+    page = f"<body><main><article>{LONG}</article><article><p>{words(90, 'c')}</p></article></main>"
+    assert main_text(page).split("\n\n") == [*BLOCKS, words(90, "c")]
+    assert main_text(page.replace("main>", "div>")).split("\n\n") == [*BLOCKS, words(90, "c")]
+
+
+def test_short_blocks_around_the_cluster_stay():
+    menu = "<div><a href=1>one</a> <a href=2>two</a></div>"
+    linked = f"<p><a href=3>{words(20, 'linked')}</a> see</p>"
+    middle = LONG.replace("</p><p>b2x", f"</p>{linked}<p>b2x")
+    page = f"<body>{menu}<h1>Title</h1><p>By me</p>{middle}<p>End</p><div class=footer>foot</div>{menu}"
+    expected = ["Title", "By me", *BLOCKS[:2], words(20, "linked") + " see", *BLOCKS[2:], "End"]
+    assert main_text(page).split("\n\n") == expected
