@@ -1,17 +1,20 @@
 """Quality rules: base counts of a text, and how it compares with trusted texts.
 
-Words and word pairs are hashed into buckets, one for every `LOAD` words and pairs
-of the corpus and `BUCKETS` at least, so the model grows with the input and a
-bucket mixes equally many of them at any size.  Two multinomials over the buckets,
-one of all trusted documents and one of the whole corpus, give a log-likelihood
-ratio for each bucket.  A document's score is the mean ratio of its words and
-pairs; it is kept if the score reaches a fixed threshold and the base rules hold.
-
-One pass counts words, one counts buckets and sums up before it shuffles, one
-judges.  Up to `BROADCAST_BUCKETS` buckets the ratios are one array (4 bytes each)
-that every task holds, and each text is judged within its own row; beyond, the
-documents are stored with a row number and their buckets are joined with the
-ratios.  Up to `BROADCAST_IDS` trusted ids are broadcast, more are joined.
+Words and word pairs are hashed into buckets, `PER_ROOT` for each square root of the
+corpus' characters and `BUCKETS` at least.  Two multinomials over the buckets, one of
+all trusted documents and one of the whole corpus, give a log-likelihood ratio for
+each bucket.  A document's score is the mean ratio of its words and pairs; it is kept
+if the score reaches a fixed threshold and the base rules hold.
+
+The model grows with the corpus: a word or pair stands out in its bucket once it is
+more frequent than an average bucket, and of a corpus n times as large this holds for
+all that are a root of n times rarer.  Rarer ones mix to ratios near 0.
+
+One pass adds up the characters, one counts buckets and sums up before it shuffles,
+one judges each text within its own row, by one array of all ratios that every task
+holds: 2 bytes a bucket, 0.5 MB for 1 GB of text, 16 MB for 1 TB, 160 MB for 100 TB.
+The plan is the same at every size.  Up to `BROADCAST_IDS` trusted ids are broadcast,
+more are joined.
 
 Cases: NULL and empty texts have no words and fail the base rules; a table
 without trusted documents gives ratio 0 everywhere, so the base rules decide;
@@ -21,24 +24,24 @@ table beyond doc_id and text are passed through untouched or not read.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimstrata.llm.shared import own_name, split_words, stored
 
-# Least number of buckets, and words and pairs for each bucket of a larger corpus.
+# Least number of buckets, and buckets for each square root of the corpus' characters.
 BUCKETS = 8192
-LOAD = 32
-# Bounds of what is broadcast: 32 MiB of ratios, 8 MB of ids.
-BROADCAST_BUCKETS = 1 << 23
+PER_ROOT = 8
+# Buckets that one row of a step towards the array of ratios holds.
+SLOT = 4096
+# Bound of the ids that are broadcast: 8 MB.
 BROADCAST_IDS = 1_000_000
 SYMBOLS = r"[#*$%&|<>]"
-# Ratios are kept as whole ten-thousandths: short to send, exact to add.
-SCALE = 10_000
+# Ratios are kept as whole thousandths: short to send, exact to add.
+SCALE = 1000
 
 
 @dataclass(frozen=True)
@@ -47,7 +50,7 @@ class QualityLimits:
     # Share of words in repeated three-word windows, in percent.
     max_repeat_percent: int = 50
     # Least mean log ratio (natural logarithm) of a kept document.
-    least_ratio: float = -0.20
+    least_ratio: float = -0.10
     # All trusted documents, or so many: smallest hashes of doc_id first.
     trusted_docs: int | None = None
     smoothing: float = 1.0
@@ -94,69 +97,55 @@ def _marked(docs: DataFrame, trusted: DataFrame | list[int]) -> DataFrame:
 
 def bucket_number(docs: DataFrame) -> int:
     """Number of buckets for the words and pairs of all rows."""
-    n_words = F.size(split_words(F.col("text"))).cast("bigint")
-    total = docs.select(F.sum(F.greatest(2 * n_words - 1, F.lit(0)))).first()[0] or 0
-    return max(BUCKETS, -(-total // LOAD))
+    n_chars = docs.select(F.sum(F.length("text"))).first()[0] or 0
+    return max(BUCKETS, PER_ROOT * math.isqrt(n_chars))
 
 
 def _bucket(gram: Column, n_buckets: int) -> Column:
-    return F.pmod(gram, F.lit(n_buckets).cast("bigint"))
+    return F.pmod(gram, F.lit(n_buckets).cast("bigint")).cast("int")
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame | list[int], n_buckets: int) -> DataFrame:
-    """bucket, n (all documents), n_trusted: words and word pairs of the corpus."""
+    """bucket, n (all documents), n_trusted: words and word pairs of the corpus; a row for each bucket."""
     hashed = _marked(docs, trusted).select("trusted", word_hashes(split_words(F.col("text"))).alias("words"))
     grams = hashed.select(
         "trusted", F.explode(F.concat("words", pair_hashes(F.col("words"), F.col("words"), 1))).alias("gram")
     )
-    return grams.groupBy(_bucket(F.col("gram"), n_buckets).alias("bucket")).agg(
+    counted = grams.groupBy(_bucket(F.col("gram"), n_buckets).alias("bucket")).agg(
         F.count("*").alias("n"), F.count_if("trusted").alias("n_trusted")
     )
+    none = F.lit(0).cast("bigint")
+    unused = docs.sparkSession.range(n_buckets).select(F.col("id").cast("int").alias("bucket"), none.alias("n"), none.alias("n_trusted"))
+    return counted.unionByName(unused).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_trusted").alias("n_trusted"))
 
 
 def log_ratios(counts: DataFrame, n_buckets: int, smoothing: float) -> DataFrame:
-    """bucket, ratio: scaled log ratio of each bucket in use; all 0 without trusted counts."""
+    """bucket, ratio: scaled log ratio of each bucket; all 0 without trusted counts."""
     all_n, all_trusted = counts.select(F.sum("n"), F.sum("n_trusted")).first()
     if not all_trusted:
-        return counts.select("bucket", F.lit(0).alias("ratio"))
+        return counts.select("bucket", F.lit(0).cast("smallint").alias("ratio"))
     more = smoothing * n_buckets
     log_share = lambda n, whole: F.log((F.col(n) + smoothing) / F.lit(whole + more))
-    ratio = log_share("n_trusted", all_trusted) - log_share("n", all_n)
-    return counts.select("bucket", F.round(ratio * SCALE).cast("int").alias("ratio"))
+    ratio = F.round((log_share("n_trusted", all_trusted) - log_share("n", all_n)) * SCALE)
+    return counts.select("bucket", F.greatest(F.least(ratio, F.lit(32767)), F.lit(-32767)).cast("smallint").alias("ratio"))
 
 
-def _ratio_array(ratios: DataFrame, n_buckets: int) -> Column:
-    """The ratios of at most BROADCAST_BUCKETS buckets as one array, by bucket.
+def ratio_array(ratios: DataFrame) -> Column:
+    """The ratios of all buckets as one array, by bucket.
 
     A scalar subquery travels with the tasks as plain bytes, not as a literal of the plan.
     """
-    found = ratios.toArrow()
-    values = np.zeros(n_buckets, np.int32)
-    values[found["bucket"].to_numpy()] = found["ratio"].to_numpy()
-    array = pa.ListArray.from_arrays(pa.array([0, n_buckets], pa.int32()), pa.array(values))
-    return ratios.sparkSession.createDataFrame(pa.table({"ratios": array})).scalar()
+    in_order = lambda key, value: F.transform(F.sort_array(F.collect_list(F.struct(key, value))), lambda x: x[value])
+    slots = ratios.groupBy((F.col("bucket") / SLOT).cast("int").alias("slot")).agg(in_order("bucket", "ratio").alias("part"))
+    return slots.agg(F.flatten(in_order("slot", "part")).alias("ratios")).scalar()
 
 
 def _ratio_sum(grams: Column, ratios: Column, n_buckets: int) -> Column:
     return F.aggregate(
-        grams, F.lit(0).cast("bigint"), lambda acc, g: acc + F.get(ratios, _bucket(g, n_buckets).cast("int"))
+        grams, F.lit(0).cast("bigint"), lambda acc, g: acc + F.get(ratios, _bucket(g, n_buckets))
     )
 
 
-def _joined_sums(docs: DataFrame, ratios: DataFrame, n_buckets: int, name: str) -> DataFrame:
-    """`docs` and the sum of ratios of each row's words and pairs, for any number of buckets."""
-    row = own_name(docs, name + "_row")
-    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    words = word_hashes(split_words(F.col("text")))
-    grams = rows.select(row, words.alias("words")).select(
-        row, F.explode(F.concat("words", pair_hashes(F.col("words"), F.col("words"), 1))).alias("gram")
-    )
-    # A bucket's ratio meets each row once, however often the row has it.
-    each = grams.groupBy(row, _bucket(F.col("gram"), n_buckets).alias("bucket")).agg(F.count("*").alias("n"))
-    sums = each.join(ratios, "bucket").groupBy(row).agg(F.sum(F.col("n") * F.col("ratio")).alias(name))
-    return rows.join(sums, row, "left").drop(row)
-
-
 def _repeat_words(places: Column) -> Column:
     """Words under the three-word windows that start at the sorted `places`."""
     start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last"))
@@ -181,18 +170,14 @@ def judge_quality(
         own_name(docs, f"{prefix}__{n}")
         for n in ("words", "hashes", "pairs", "windows", "ordered", "lines", "grams", "array", "total")
     )
-    if n_buckets <= BROADCAST_BUCKETS:
-        array_of_ratios = _ratio_array(ratios, n_buckets)
-        # One step names both and the next uses each once, so the optimizer merges
-        # the steps; as a column the array would be copied for every row.
-        with_sum = lambda df: (
-            df.withColumns({array: array_of_ratios, grams: F.concat(hashes, pairs)})
-            .withColumn(total, _ratio_sum(F.col(grams), F.col(array), n_buckets))
-            .drop(array, grams)
-        )
-    else:
-        docs = _joined_sums(docs, ratios, n_buckets, total)
-        with_sum = lambda df: df
+    array_of_ratios = ratio_array(ratios)
+    # One step names both and the next uses each once, so the optimizer merges
+    # the steps; as a column the array would be copied for every row.
+    with_sum = lambda df: (
+        df.withColumns({array: array_of_ratios, grams: F.concat(hashes, pairs)})
+        .withColumn(total, _ratio_sum(F.col(grams), F.col(array), n_buckets))
+        .drop(array, grams)
+    )
     text = F.coalesce(F.col("text"), F.lit(""))
     same = lambda a, b: F.get(F.col(ordered), b)["gram"].eqNullSafe(a)
     n_grams = F.size(hashes) + F.size(pairs)

@@ -26,9 +26,12 @@ def good_and_junk(n):
 
 
 def test_the_model_grows_with_the_corpus(spark):
-    sizes = [target_ratio.bucket_number(documents(spark, good_and_junk(n)[0])) for n in (10, 1000, 2000)]
+    docs = [documents(spark, good_and_junk(n)[0]) for n in (10, 2000, 8000)]
+    sizes = [target_ratio.bucket_number(d) for d in docs]
     assert sizes[0] == target_ratio.BUCKETS
-    assert sizes[1:] == [-(-n * 299 // target_ratio.LOAD) for n in (1000, 2000)]
+    n_chars = [sum(len(r["text"]) for r in d.select("text").collect()) for d in docs]
+    assert sizes[1:] == [target_ratio.PER_ROOT * int(n**0.5) for n in n_chars[1:]]
+    assert sizes[1] > target_ratio.BUCKETS and 1.9 < sizes[2] / sizes[1] < 2.1
 
 
 @pytest.mark.parametrize("n", [400, 4000])
@@ -40,16 +43,15 @@ def test_junk_goes_at_any_size(spark, n):
     assert {r[0] for r in rows_of(kept, "doc_id")} == {i for i in range(n) if i % 5}
 
 
-def test_joined_ratios_equal_broadcast_ones(spark, monkeypatch):
+def test_joined_ids_equal_broadcast_ones(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame([(None, "no id"), (-1, None), (-2, ""), (3, "a repeated id")], docs.schema)
     docs = docs.unionByName(odd)
     trusted = target_ratio.trusted_rows(spark.read.parquet(f"{SF_DIR}/labels.parquet"), QualityLimits())
     ids = [r["doc_id"] for r in trusted.collect()]
-    monkeypatch.setattr(target_ratio, "LOAD", 4)
+    monkeypatch.setattr(target_ratio, "PER_ROOT", 100)
     plain = sorted(map(str, target_ratio.judge_quality(docs, ids).collect()))
     assert sorted(map(str, target_ratio.judge_quality(docs, trusted).collect())) == plain
-    monkeypatch.setattr(target_ratio, "BROADCAST_BUCKETS", 0)
     monkeypatch.setattr(target_ratio, "BROADCAST_IDS", 0)
     assert sorted(map(str, target_ratio.judge_quality(docs, trusted).collect())) == plain
 
