@@ -10,17 +10,18 @@ from __future__ import annotations
 import datetime as dt
 import sys
 import uuid
+import warnings
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from claimstrata.functions.rules import claim_rules, flag_columns
 from claimstrata.operators import checks, marts
-from claimstrata.operators.bronze import add_audit_columns, batch_id, deduplicate, months_touched
+from claimstrata.operators.bronze import add_audit_columns, batch_id, deduplicate, latest_per_key, months_touched
 from claimstrata.operators.checks import FACT_RELATIONS
 from claimstrata.operators.quality import dq_gate, dq_metrics
 from claimstrata.operators.silver import (
@@ -36,27 +37,31 @@ from claimstrata.plans.bronze import bronze_rows, reference_rows, run_bronze, ru
 from claimstrata.plans.gold import run_gold, star_schema
 from claimstrata.plans.layers import Layers
 from claimstrata.plans.medallion import run_medallion
+from claimstrata.plans.stream import stream_bronze
 from claimstrata.plans.silver import SilverOptions, quarantine_rows, rerun_touched, run_silver, silver_rows
 from claimstrata.schemas import (
     BRONZE_PARTITIONS,
     CLAIM_STATUSES,
     CLAIM_TYPES,
+    CLAIMS_SCHEMA,
     SILVER_PARTITIONS,
 )
 from claimstrata.session import configure, workspace
 from claimstrata.sources.contract import split_not_null
 from claimstrata.sources.feeds import claims_feed, members_feed, providers_feed
-from claimstrata.sources.files import SOURCE_FILE, UNKNOWN_FIELDS, read_feed, write_feed
+from claimstrata.sources.fhir import REASON
+from claimstrata.sources.files import CORRUPT, SOURCE_FILE, UNKNOWN_FIELDS, read_feed, write_feed
+from claimstrata.sources.hl7 import SEPARATOR
 from claimstrata.sources.layers import bronze_month, silver_month
 from oracle_queries import ORACLES
 
-# The training-data operators are an optional part: without them the rest works.
+# The training-data operators are an optional part: without them, or a library that
+# only they need, the rest works.
 try:
     import corpus_pipeline
     from claimstrata.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "claimstrata.llm", "claimstrata.llm.queries"):
-        raise
+    warnings.warn(f"no training-data queries: module {missing.name} is absent", stacklevel=2)
     corpus_pipeline = llm_queries = None
 
 AS_OF = dt.date(2001, 6, 30)
@@ -223,6 +228,85 @@ def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(layers.table("bronze_rejects")).drop(SOURCE_FILE)
 
 
+def bronze_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of a JSON feed whose fields outside the contract are kept in a map."""
+    layers = _fresh_layers(spark)
+    run_bronze_files(
+        spark, _wider_feed(spark, sf_dir), "json", RUN_TS, layers, RUN_TS, nulls="keep", unknown="keep"
+    )
+    tier = F.col(UNKNOWN_FIELDS)["network_tier"]
+    return spark.table(layers.table("bronze")).withColumn("network_tier", tier).drop(UNKNOWN_FIELDS, SOURCE_FILE)
+
+
+def _bronze_of_messages(fmt: str) -> Query:
+    """Bronze of claims that came as messages."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layers, path = _fresh_layers(spark), workspace(configure(spark), fmt)
+        write_feed(_claims(spark, sf_dir), path, fmt)
+        run_bronze_files(spark, path, fmt, RUN_TS, layers, RUN_TS, nulls="keep")
+        return spark.table(layers.table("bronze")).drop(SOURCE_FILE)
+
+    return query
+
+
+def _message_rejects(fmt: str, spoil: Callable[[Column], Column], line: str) -> Query:
+    """Claim lines in each kind of reject, after messages of two payers were spoilt."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layers, clean, path = _fresh_layers(spark), workspace(configure(spark), fmt), workspace(spark, fmt)
+        write_feed(_claims(spark, sf_dir), clean, fmt)
+        separator = {"lineSep": SEPARATOR} if fmt == "hl7" else {}
+        texts = spark.read.options(**separator).text(clean)
+        texts.select(spoil(F.col("value")).alias("value")).write.options(**separator).text(path)
+        run_bronze_files(spark, path, fmt, RUN_TS, layers, RUN_TS, nulls="keep")
+        lines = F.sum(F.regexp_count(CORRUPT, F.lit(line))).alias("lines")
+        kept = spark.table(layers.table("bronze")).groupBy(F.lit(None).cast("string").alias("reason")).agg(F.count("*").alias("lines"))
+        return spark.table(layers.table("bronze_rejects")).groupBy(F.col(REASON).alias("reason")).agg(lines).unionByName(kept)
+
+    return query
+
+
+def _spoil_bundle(text: Column) -> Column:
+    other = F.replace(text, F.lit("ExplanationOfBenefit"), F.lit("Coverage"))
+    unreadable = F.replace(text, F.lit('"amount":{"value":'), F.lit('"amount":{"value":"?","was":'))
+    return F.when(text.contains("PAYER_002"), other).when(text.contains("PAYER_003"), unreadable).otherwise(text)
+
+
+def _spoil_message(text: Column) -> Column:
+    other = F.replace(text, F.lit("|^~\\&|"), F.lit("|#~\\&|"))
+    other = F.when(text.startswith("^~"), F.concat(F.lit("#"), F.substr(text, F.lit(2)))).otherwise(other)
+    unreadable = F.regexp_replace(text, r"(?m)^(ZCL\|[^|]*\|[^|]*\|)", "$1?")
+    return F.when(text.contains("PAYER_002"), other).when(text.contains("PAYER_003"), unreadable).otherwise(text)
+
+
+def bronze_batch_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after a batch was run three times: in part, with a wrong row more, and whole."""
+    layers, claims = _fresh_layers(spark), _claims(spark, sf_dir)
+    even = F.substring("provider_id", -1, 1).isin("0", "2", "4", "6", "8")
+    first, second = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    run_bronze(claims.where(even), first, layers, first, nulls="keep", once=True)
+    corrected = claims.withColumn("paid_amount", F.col("paid_amount") + 1)
+    wrong = corrected.withColumn("claim_id", F.concat(F.lit("WRONG"), "claim_id")).where(F.col("payer_id") == "PAYER_001")
+    for attempt in (corrected.where(even), corrected.unionByName(wrong), corrected):
+        run_bronze(attempt, second, layers, second, nulls="keep", once=True)
+    return spark.table(layers.table("bronze")).drop(SOURCE_FILE)
+
+
+def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims that arrived as files, read in micro-batches of three runs, the last one without files."""
+    layers, folder, checkpoint = _fresh_layers(spark), workspace(configure(spark), "arriving"), workspace(spark, "checkpoint")
+    claims = _claims(spark, sf_dir)
+    for payers in (("PAYER_001", "PAYER_002"), ("PAYER_003", "PAYER_004"), ()):
+        if payers:
+            claims.where(F.col("payer_id").isin(*payers)).repartition(4, "payer_id").write.mode("append").json(
+                folder, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+            )
+        stream_bronze(spark, folder, "json", layers, checkpoint, run_ts=RUN_TS, nulls="keep", files_per_batch=1)
+    stored = spark.table(layers.table("bronze")).select(*CLAIMS_SCHEMA.fieldNames())
+    return latest_per_key(stored, "claim_id", ["ingestion_ts"], keep_null_keys=True)
+
+
 def bronze_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _fresh_layers(spark)
     run_bronze(_claims(spark, sf_dir), RUN_TS, layers, RUN_TS, nulls="keep", buckets=8)
@@ -332,6 +416,50 @@ def silver_replace_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(layers.table("silver")).drop(SOURCE_FILE)
 
 
+def _deletes_in_bronze(spark: SparkSession, sf_dir: str) -> tuple[Layers, SilverOptions]:
+    """Bronze of claims, tombstones for those of line 2 and 3, and later versions for some of line 3.
+
+    Tombstones of line 2 have a service date, those of line 3 nothing but the id.
+    """
+    layers, claims = _fresh_layers(spark), _claims(spark, sf_dir)
+    last, deleted = F.substring("claim_id", -1, 1), F.lit(True)
+    dated = claims.where(last == "2").select("claim_id", "service_date", "payer_id", deleted.alias("_is_deleted"))
+    undated = claims.where(last == "3").select("claim_id", deleted.alias("_is_deleted"))
+    gone = dated.unionByName(undated, allowMissingColumns=True).distinct()
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in CLAIMS_SCHEMA if f.name not in gone.columns}
+    back = claims.where((last == "3") & (F.col("payer_id") == "PAYER_001"))
+    for day, rows in enumerate((claims, gone.withColumns(absent), back.withColumn("paid_amount", F.col("paid_amount") / 2)), start=1):
+        time = dt.datetime(2024, 1, day)
+        run_bronze(rows, time, layers, time, nulls="keep")
+    return layers, SilverOptions(as_of=AS_OF, run_ts=RUN_TS, deletes=True)
+
+
+def silver_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of the whole history after claims were deleted and some came back."""
+    layers, options = _deletes_in_bronze(spark, sf_dir)
+    run_silver(spark, layers, options=options)
+    return spark.table(layers.table("silver")).drop(SOURCE_FILE)
+
+
+def gold_deletes_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a month that was in Silver and Gold before its claims were deleted."""
+    layers, options = _deletes_in_bronze(spark, sf_dir)
+    run_silver(spark, layers, YEAR, MONTH, SilverOptions(as_of=AS_OF, run_ts=RUN_TS))
+    run_gold(spark, layers, YEAR, MONTH, RUN_TS)
+    run_silver(spark, layers, YEAR, MONTH, options)
+    run_gold(spark, layers, YEAR, MONTH, RUN_TS)
+    return spark.table(layers.table("fact_claims"))
+
+
+def quarantine_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantine after one month was run twice and another one once."""
+    layers = _fresh_layers(spark)
+    _append_bronze(_claims(spark, sf_dir), layers)
+    for month in (MONTH, MONTH + 1, MONTH):
+        run_silver(spark, layers, YEAR, month, OPTIONS, once=True)
+    return spark.table(layers.table("quarantine")).drop(SOURCE_FILE)
+
+
 def silver_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _stored_silver(spark, sf_dir)
     return silver_month(spark, layers.table("silver"), YEAR, MONTH).drop(SOURCE_FILE)
@@ -356,6 +484,24 @@ def _gold(table: str) -> Query:
     return query
 
 
+def _icd10_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions by chapter (one letter), of some categories (three signs), and of some whole codes."""
+    code = F.upper(F.trim("diagnosis_code"))
+    codes = _claims(spark, sf_dir).select(code.alias("code")).where(F.col("code").isNotNull()).distinct()
+    prefix = lambda n: F.substring("code", 1, n)
+    return (
+        codes.where(prefix(1) != "Z").select(prefix(1).alias("icd10_prefix"), F.concat(F.lit("Chapter "), prefix(1)).alias("description"))
+        .unionByName(codes.where(prefix(1) > "I").select(prefix(3).alias("icd10_prefix"), F.concat(F.lit("Category "), prefix(3)).alias("description")))
+        .unionByName(codes.where(prefix(1).isin("K", "M")).select(F.lower("code").alias("icd10_prefix"), F.concat(F.lit("Code "), "code").alias("description")))
+        .distinct()
+    )
+
+
+def gold_dim_diagnosis_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Diagnoses described by the longest prefix that a reference knows."""
+    return star_schema(_silver(spark, sf_dir), RUN_TS, _icd10_reference(spark, sf_dir))["dim_diagnosis"]
+
+
 def gold_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as stored after the five Gold tables were loaded for a month."""
     layers = _stored_silver(spark, sf_dir)
@@ -482,6 +628,13 @@ def queries() -> dict[str, Query]:
         "json_feed_with_rejects": json_feed_with_rejects,
         "bronze_rejects": bronze_rejects,
         "bronze_bucketed": bronze_bucketed,
+        "bronze_unknown_fields": bronze_unknown_fields,
+        "bronze_fhir": _bronze_of_messages("fhir"),
+        "bronze_hl7": _bronze_of_messages("hl7"),
+        "fhir_rejects": _message_rejects("fhir", _spoil_bundle, "servicedDate"),
+        "hl7_rejects": _message_rejects("hl7", _spoil_message, r"(?m)^FT1\|"),
+        "bronze_batch_twice": bronze_batch_twice,
+        "bronze_stream": bronze_stream,
         "mask_pii": lambda spark, sf_dir: mask_pii(_claims(spark, sf_dir)),
         "mask_pii_preserve_null": mask_preserving_null,
         "standardize_codes": lambda spark, sf_dir: standardize_codes(_claims(spark, sf_dir)),
@@ -498,6 +651,9 @@ def queries() -> dict[str, Query]:
         "silver_schema_evolution": silver_schema_evolution,
         "silver_rerun_touched": silver_rerun_touched,
         "quarantine_job_with_unknown": quarantine_job_with_unknown,
+        "quarantine_twice": quarantine_twice,
+        "silver_deletes": silver_deletes,
+        "gold_deletes_month": gold_deletes_month,
         "silver_replace_month": silver_replace_month,
         "silver_month_scan": silver_month_scan,
         "medallion_end_to_end": medallion_end_to_end,
@@ -505,6 +661,7 @@ def queries() -> dict[str, Query]:
         "gold_dim_member": _gold("dim_member"),
         "gold_dim_provider": _gold("dim_provider"),
         "gold_dim_diagnosis": _gold("dim_diagnosis"),
+        "gold_dim_diagnosis_reference": gold_dim_diagnosis_reference,
         "gold_fact_claims": _gold("fact_claims"),
         "gold_load_month": gold_load,
         "run_metrics": run_metrics,

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimstrata.functions.columns import timestamp_or_now
 from claimstrata.sources.files import SOURCE_FILE
@@ -38,7 +39,8 @@ def add_audit_columns(
     """Stamp rows with load time, loader, batch, source file and delete mark.
 
     With `date_field`, also its year and month, the storage partitions.  Rows
-    that did not come from a file have an empty source file.
+    that did not come from a file have an empty source file.  A delete mark that
+    the rows bring along stays, unset ones are no deletes.
     """
     source = F.col(SOURCE_FILE) if SOURCE_FILE in df.columns else F.lit("")
     stamps = {
@@ -46,13 +48,30 @@ def add_audit_columns(
         "_ingested_by": F.lit(ingested_by),
         "_batch_id": F.lit(batch),
         SOURCE_FILE: source,
-        "_is_deleted": F.lit(False),
+        "_is_deleted": F.coalesce(F.col("_is_deleted"), F.lit(False)) if "_is_deleted" in df.columns else F.lit(False),
     }
     if date_field:
         stamps |= month_columns(date_field)
     return df.withColumns(stamps)
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType)
+
+
+def _order_key(df: DataFrame, name: str) -> Column:
+    """The column, or for maps, which have no order, a text or entries that have one."""
+    kind, column = df.schema[name].dataType, F.col(f"`{name}`")
+    if not _holds_map(kind):
+        return column
+    plain = isinstance(kind, T.MapType) and not _holds_map(kind.valueType) and not _holds_map(kind.keyType)
+    return F.sort_array(F.map_entries(column)) if plain else F.to_json(F.struct(column))
+
+
 def latest_per_key(
     df: DataFrame, key: str, newest_first: Sequence[str], keep_null_keys: bool = False
 ) -> DataFrame:
@@ -66,7 +85,7 @@ def latest_per_key(
     stay; that also deals them out evenly.
     """
     others = [c for c in df.columns if c != key and c not in newest_first]
-    order = [F.col(c).desc_nulls_last() for c in (*newest_first, *others)]
+    order = [_order_key(df, c).desc_nulls_last() for c in (*newest_first, *others)]
     keys = [key]
     if keep_null_keys:
         row = F.when(F.col(key).isNull(), F.monotonically_increasing_id())

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimstrata.functions.columns import date_key, surrogate_key, timestamp_or_now
@@ -56,14 +56,51 @@ def build_dim_provider(silver: DataFrame, run_ts: dt.datetime | None = None) ->
     )
 
 
-def build_dim_diagnosis(silver: DataFrame) -> DataFrame:
-    """One row per known diagnosis; the category is the code's first letter."""
+def _plain_code(code: Column) -> Column:
+    """An ICD-10 code without its dot, in upper case."""
+    return F.replace(F.upper(F.trim(code)), F.lit("."), F.lit(""))
+
+
+def describe_codes(codes: DataFrame, code: str, reference: DataFrame) -> DataFrame:
+    """`codes` and the description of the longest prefix that the reference knows.
+
+    `reference` has the columns icd10_prefix and description; dots and case do not
+    matter, and of several descriptions of a prefix the smallest counts.  Each code
+    is spread over its prefixes and meets the reference by equality: a few rows
+    per code, and no join on a condition.  NULL where no prefix is known.
+    """
+    known = (
+        reference.select(_plain_code(F.col("icd10_prefix")).alias("prefix"), "description")
+        .where(F.col("prefix") != "")
+        .groupBy("prefix")
+        .agg(F.min("description").alias("description"))
+    )
+    plain, n = _plain_code(F.col(code)), F.col("n")
+    spread = codes.select(code).distinct().where(plain != "").select(code, F.explode(F.sequence(F.lit(1), F.length(plain))).alias("n"))
+    longest = (
+        spread.withColumn("prefix", F.substr(plain, F.lit(1), n))
+        .join(known, "prefix")
+        .groupBy(code)
+        .agg(F.max_by("description", "n").alias("description"))
+    )
+    return codes.join(longest, code, "left")
+
+
+def build_dim_diagnosis(silver: DataFrame, reference: DataFrame | None = None) -> DataFrame:
+    """One row per known diagnosis; the category is the code's first letter.
+
+    With `reference` (see `describe_codes`), codes are described by it.
+    """
     code = F.col("diagnosis_code")
-    return silver.where(code.isNotNull()).select(code).distinct().select(
+    codes = silver.where(code.isNotNull()).select(code).distinct()
+    described = codes.withColumn("description", F.lit(None).cast("string"))
+    if reference is not None:
+        described = describe_codes(codes, "diagnosis_code", reference)
+    return described.select(
         code,
         surrogate_key("diagnosis_code").alias("diagnosis_key"),
         code.alias("icd10_code"),
-        F.lit(DIAGNOSIS_DESCRIPTION).alias("description"),
+        F.coalesce("description", F.lit(DIAGNOSIS_DESCRIPTION)).alias("description"),
         F.substring(code, 1, 1).alias("category"),
     )
 

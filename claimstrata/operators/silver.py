@@ -84,6 +84,26 @@ def apply_cdc_dedup(df: DataFrame, order_field: str = "_ingested_at") -> DataFra
     return latest_per_key(df, "claim_id", [order_field])
 
 
+def is_tombstone() -> Column:
+    """A row that says its claim is deleted."""
+    return F.coalesce(F.col("_is_deleted"), F.lit(False))
+
+
+def latest_not_deleted(
+    df: DataFrame, rules: dict[str, Column], order_field: str = "_ingested_at"
+) -> DataFrame:
+    """Latest valid version of each claim, unless a tombstone is newer or as new.
+
+    A tombstone needs only a claim id, the rules do not apply to it.  A version
+    that comes after it brings the claim back.  Versions and tombstones meet in
+    the one shuffle of the deduplication.
+    """
+    gone = is_tombstone()
+    valid = F.coalesce(~any_broken(rules), F.lit(False))
+    in_force = df.where(valid & ~gone | gone & F.col("claim_id").isNotNull())
+    return latest_per_key(in_force, "claim_id", [order_field, "_is_deleted"]).where(~gone)
+
+
 def enrich(df: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """Calendar parts, discount rate, denial mark and processing time."""
     # Names of the derived columns.

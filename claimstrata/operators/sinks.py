@@ -8,6 +8,8 @@ so retries and lost executors do not inflate it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -108,19 +110,45 @@ def replace_month(
     Plain files have no transaction: a reader may see the month empty while
     it is rewritten, and a failed run must be repeated.
     """
+    year_col, month_col = partition_by[:2]
+    return _replace_partitions(
+        df, table, {year_col: year, month_col: month}, partition_by, path, f"row outside {year}-{month:02d} in month overwrite"
+    )
+
+
+def replace_batch(
+    df: DataFrame, table: str, batch: str, partition_by: Sequence[str] = ("_batch_id",), path: str | None = None
+) -> int:
+    """Append one batch, or put it in place of what an earlier run of it stored.
+
+    `partition_by` starts with the column that names the batch; other batches are
+    not touched.  An attempt that failed half-way leaves nothing behind once the
+    batch is run again, rows that it no longer has included.
+    """
+    return _replace_partitions(df, table, {partition_by[0]: batch}, partition_by, path, f"row outside batch {batch}")
+
+
+def _replace_partitions(
+    df: DataFrame,
+    table: str,
+    fixed: Mapping[str, int | str],
+    partition_by: Sequence[str],
+    path: str | None,
+    stray: str,
+) -> int:
+    """Replace the partitions with the `fixed` leading values, and nothing else."""
     spark = df.sparkSession
-    year_col, month_col, *rest = partition_by
     if spark.catalog.tableExists(table):
         df = _widen(spark, table, df)
     else:
-        _save(df.limit(0), table, "append", partition_by, path)
-    # A row of another month is an error of the caller, never moved or dropped.
-    in_month = (F.col(year_col) == year) & (F.col(month_col) == month)
-    stray = F.raise_error(F.lit(f"row outside {year}-{month:02d} in month overwrite"))
-    checked = df.where(F.when(in_month, True).otherwise(stray.cast("boolean")))
-    columns = [c for c in spark.table(table).columns if c not in (year_col, month_col)]
-    target = ", ".join([f"{year_col}={year:d}", f"{month_col}={month:d}", *rest])
-    select = ", ".join(f"`{c}`" for c in columns)
+        # Not from the frame itself: its observations are for the write below.
+        _save(spark.createDataFrame([], df.schema), table, "append", partition_by, path)
+    # A row of another partition is an error of the caller, never moved or dropped.
+    within = reduce(and_, [F.col(c) == F.lit(value) for c, value in fixed.items()])
+    checked = df.where(F.when(within, True).otherwise(F.raise_error(F.lit(stray)).cast("boolean")))
+    literal = lambda value: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else f"{value:d}"
+    target = ", ".join([f"{c}={literal(value)}" for c, value in fixed.items()] + list(partition_by[len(fixed) :]))
+    select = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in fixed)
     return _counted(
         checked,
         lambda rows: spark.sql(

@@ -17,7 +17,7 @@ from claimstrata.operators.bronze import (
     month_columns,
     months_touched,
 )
-from claimstrata.operators.sinks import append, balanced
+from claimstrata.operators.sinks import append, balanced, replace_batch
 from claimstrata.plans.layers import Layers
 from claimstrata.schemas import (
     BRONZE_PARTITIONS,
@@ -63,28 +63,38 @@ def _by_partition(df: DataFrame) -> DataFrame:
 
 def run_bronze(
     claims: DataFrame,
-    execution_time: dt.datetime,
+    execution_time: dt.datetime | None,
     layers: Layers,
     run_ts: dt.datetime | None = None,
     nulls: str = "fail",
     buckets: int | None = None,
+    once: bool = False,
+    batch: str | None = None,
+    set_aside: DataFrame | None = None,
 ) -> dict[str, Any]:
     """Append one batch of claims, in one write.
 
     `nulls="reject"` appends NOT NULL violations, whole and unmasked, to the
-    Bronze rejects table.  A batch that is run twice is stored twice; Silver
-    absorbs the copies.  `buckets` stores rows hashed on the claim id instead
-    of gathered by partition: more files, but Silver then needs no shuffle to
-    deduplicate a month, however often it is re-run.  The months of the batch
-    go to the batch log, so that late claims are found without a scan.
+    Bronze rejects table, together with rejects of the reader in `set_aside`.  A
+    batch that is run twice is stored twice; Silver absorbs the copies.  With
+    `once`, tables are partitioned by batch first and a batch takes the place of
+    what an earlier run of the same name stored, in Bronze, rejects and batch log.
+    The name is `batch`, or follows from the execution time.  `buckets` stores
+    rows hashed on the claim id instead of gathered by partition: more files, but
+    Silver then needs no shuffle to deduplicate a month, however often it is
+    re-run.  The months of the batch go to the batch log, so that late claims are
+    found without a scan.
 
     Bronze is written before rejects: a run that fails in between and is
     repeated doubles Bronze rows, which Silver absorbs, and no rejects.
     """
-    batch = batch_id(execution_time)
-    broken = None
+    if once and buckets:
+        raise ValueError("a table is laid out by batch or by bucket, not both")
+    batch = batch or batch_id(execution_time)
+    rejects = set_aside
     if nulls == "reject":
         claims, broken = split_not_null(conform(claims))
+        rejects = broken if rejects is None else broken.unionByName(rejects, allowMissingColumns=True)
         nulls = "keep"
     layout = (lambda df: df.repartition(buckets, "claim_id")) if buckets else _by_partition
     seen, stored = Observation(), Observation()
@@ -95,20 +105,22 @@ def run_bronze(
         nulls=nulls,
         layout=layout,
     ).observe(stored, F.collect_set(F.struct("year", "month")).alias("months"))
-    loaded = append(
-        rows, layers.table("bronze"), BRONZE_PARTITIONS, layers.path("bronze"), buckets
-    )
+    target, path = layers.table("bronze"), layers.path("bronze")
+    if once:
+        loaded = replace_batch(rows, target, batch, ("_batch_id", *BRONZE_PARTITIONS), path)
+    else:
+        loaded = append(rows, target, BRONZE_PARTITIONS, path, buckets)
     # Nothing was observed where nothing was read; any row received leaves one.
     received = seen.get["rows"] if loaded else 0
-    _log_months(claims.sparkSession, batch, stored.get["months"] if loaded else [], layers)
-    rejected = 0 if broken is None else _reject(broken, batch, layers, run_ts)
+    _log_months(claims.sparkSession, batch, stored.get["months"] if loaded else [], layers, once)
+    rejected = 0 if rejects is None else _reject(rejects, batch, layers, run_ts, once)
     return {
         "input_records": received + rejected,
         "records_loaded": loaded,
         "duplicates_dropped": received - loaded,
         "records_failed": rejected,
         "batch_id": batch,
-        "target": layers.table("bronze"),
+        "target": target,
         "status": "SUCCESS",
     }
 
@@ -122,26 +134,25 @@ def run_bronze_files(
     run_ts: dt.datetime | None = None,
     nulls: str = "fail",
     buckets: int | None = None,
+    once: bool = False,
     **reading: Any,
 ) -> dict[str, Any]:
-    """Append a CSV, JSON or parquet batch; unreadable records go to the rejects table.
+    """Append a batch of files; unreadable records go to the rejects table.
 
     `reading` goes to `read_feed`: timestamp format, line breaks, unknown fields.
     """
     rows, corrupt = read_feed(spark, path, fmt, **reading)
-    result = run_bronze(rows, execution_time, layers, run_ts, nulls, buckets)
-    unreadable = _reject(corrupt, batch_id(execution_time), layers, run_ts)
-    return result | {
-        "input_records": result["input_records"] + unreadable,
-        "records_failed": result["records_failed"] + unreadable,
-    }
+    return run_bronze(rows, execution_time, layers, run_ts, nulls, buckets, once, set_aside=corrupt)
 
 
-def _log_months(spark: SparkSession, batch: str, months: list[Any], layers: Layers) -> None:
+def _log_months(spark: SparkSession, batch: str, months: list[Any], layers: Layers, once: bool) -> None:
     """Append the (year, month) pairs of a batch to the batch log."""
     rows = [(batch, m["year"], m["month"]) for m in months]
     log = spark.createDataFrame(rows, "_batch_id string, year int, month int").coalesce(1)
-    append(log, layers.table("batch_log"), path=layers.path("batch_log"))
+    if once:
+        replace_batch(log, layers.table("batch_log"), batch, path=layers.path("batch_log"))
+    else:
+        append(log, layers.table("batch_log"), path=layers.path("batch_log"))
 
 
 def months_of_batch(spark: SparkSession, layers: Layers, batch: str) -> list[tuple[int, int]]:
@@ -150,9 +161,10 @@ def months_of_batch(spark: SparkSession, layers: Layers, batch: str) -> list[tup
     return sorted(tuple(row) for row in months_touched(log).dropna().collect())
 
 
-def _reject(df: DataFrame, batch: str, layers: Layers, run_ts: dt.datetime | None) -> int:
+def _reject(df: DataFrame, batch: str, layers: Layers, run_ts: dt.datetime | None, once: bool) -> int:
     stamped = add_audit_columns(df, batch, run_ts, date_field=None)
-    return append(stamped, layers.table("bronze_rejects"), path=layers.path("bronze_rejects"))
+    target, path = layers.table("bronze_rejects"), layers.path("bronze_rejects")
+    return replace_batch(stamped, target, batch, path=path) if once else append(stamped, target, path=path)
 
 
 # Feeds without a load time of their own: any copy of a key may stand for it,

@@ -22,13 +22,18 @@ from claimstrata.plans.layers import Layers
 from claimstrata.sources.layers import silver_month
 
 
-def star_schema(silver: DataFrame, run_ts: dt.datetime | None = None) -> dict[str, DataFrame]:
-    """Table name -> frame; five plans that each read only their columns."""
+def star_schema(
+    silver: DataFrame, run_ts: dt.datetime | None = None, icd10: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Table name -> frame; five plans that each read only their columns.
+
+    `icd10` (icd10_prefix, description) describes diagnoses.
+    """
     return {
         "dim_date": build_dim_date(silver),
         "dim_member": build_dim_member(silver, run_ts),
         "dim_provider": build_dim_provider(silver, run_ts),
-        "dim_diagnosis": build_dim_diagnosis(silver),
+        "dim_diagnosis": build_dim_diagnosis(silver, icd10),
         "fact_claims": build_fact_claims(silver, run_ts),
     }
 
@@ -42,13 +47,14 @@ def run_gold(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
     in_catalog: bool = True,
+    icd10: DataFrame | None = None,
 ) -> dict[str, Any]:
     """Overwrite the five Gold tables; with a month, they then hold that month."""
     if (year is None) != (month is None):
         raise ValueError("give both year and month, or neither")
     table = layers.table("silver")
     silver = spark.table(table) if year is None else silver_month(spark, table, year, month)
-    star = star_schema(silver, run_ts)
+    star = star_schema(silver, run_ts, icd10)
 
     def load(name: str) -> int:
         return load_table(

@@ -20,12 +20,14 @@ from claimstrata.operators.quality import QUALITY_COUNTS, quality_counts
 from claimstrata.operators.silver import (
     apply_cdc_dedup,
     enrich,
+    is_tombstone,
+    latest_not_deleted,
     mask_pii,
     quarantined_rows,
     standardize_codes,
     valid_rows,
 )
-from claimstrata.operators.sinks import append, balanced, replace_all, replace_month
+from claimstrata.operators.sinks import append, balanced, replace_all, replace_batch, replace_month
 from claimstrata.plans.bronze import months_of_batch
 from claimstrata.plans.layers import Layers
 from claimstrata.schemas import DEFAULT_SALT, SILVER_PARTITIONS
@@ -38,6 +40,7 @@ class SilverOptions:
 
     `as_of` is the last allowed service date (today if unset).  `null_flags`
     and `preserve_null` are described at `quarantined_rows` and `salted_hash`.
+    `deletes` lets Bronze rows with a delete mark remove their claim.
     """
 
     as_of: dt.date | None = None
@@ -46,6 +49,7 @@ class SilverOptions:
     null_flags: str = "drop"
     preserve_null: bool = False
     order_field: str = "_ingested_at"
+    deletes: bool = False
 
     def rules(self) -> dict[str, Column]:
         return claim_rules(self.as_of, members_hashed=not self.preserve_null)
@@ -58,8 +62,11 @@ def silver_rows(
     bronze: DataFrame, options: SilverOptions, partitions: tuple[str, ...] = ()
 ) -> DataFrame:
     """Clean claims; with `partitions`, gathered by them for writing."""
-    valid = valid_rows(standardize_codes(bronze), options.rules())
-    latest = apply_cdc_dedup(valid, options.order_field)
+    standard, rules = standardize_codes(bronze), options.rules()
+    if options.deletes:
+        latest = latest_not_deleted(standard, rules, options.order_field)
+    else:
+        latest = apply_cdc_dedup(valid_rows(standard, rules), options.order_field)
     return options.mask(enrich(balanced(latest, partitions), options.run_ts))
 
 
@@ -75,6 +82,7 @@ def run_silver(
     year: int | None = None,
     month: int | None = None,
     options: SilverOptions = SilverOptions(),
+    once: bool = False,
 ) -> dict[str, Any]:
     """Clean one Bronze month into Silver, replacing that month.
 
@@ -84,6 +92,12 @@ def run_silver(
     quarantine write sees every input row in its only stage and counts there,
     for `quality` as well: counts over the rows received, before any is set
     aside, dropped as a copy or hashed.
+
+    With `options.deletes`, tombstones are no such rows.  One with a service date
+    takes effect when its month is run, one without in every run.
+
+    `once` stores the quarantined rows by the months of the run, in place of those
+    that an earlier run over the same months stored.
     """
     if (year is None) != (month is None):
         raise ValueError("give both year and month, or neither")
@@ -91,15 +105,26 @@ def run_silver(
     bronze = layers.table("bronze")
     rows = spark.table(bronze) if year is None else bronze_month(spark, bronze, year, month)
 
+    received = rows
+    if options.deletes:
+        received = rows.where(~is_tombstone())
+        if year is not None:
+            undated = F.col("year").isNull() | F.col("month").isNull()
+            rows = rows.unionByName(spark.table(bronze).where(undated & is_tombstone()))
     broken, seen = any_broken(options.rules()), Observation()
-    watched = standardize_codes(rows).observe(
+    watched = standardize_codes(received).observe(
         seen,
         F.count(F.lit(1)).alias("input"),
         F.count_if(broken.isNull()).alias("undecided"),
         *quality_counts(broken),
     )
     rejected = options.mask(quarantined_rows(watched, options.rules(), options.null_flags))
-    quarantined = append(rejected, layers.table("quarantine"), path=layers.path("quarantine"))
+    aside, aside_path = layers.table("quarantine"), layers.path("quarantine")
+    if once:
+        scope = "all" if year is None else f"{year}-{month:02d}"
+        quarantined = replace_batch(rejected.withColumn("_scope", F.lit(scope)), aside, scope, ("_scope",), aside_path)
+    else:
+        quarantined = append(rejected, aside, path=aside_path)
 
     clean = silver_rows(rows, options, partitions=("year", "month", "payer_id"))
     target, path = layers.table("silver"), layers.path("silver")

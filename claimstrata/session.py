@@ -52,8 +52,9 @@ def shuffle_settings(shuffle_bytes: int, cores: int, target_mib: int = 512) -> d
 def workspace(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's shared `spark.checkpoint.dir`.
 
-    A checkpoint folder set on the context serves as well.  Only a local session without that setting gets a temporary folder; on a
-    cluster every executor must see the folder, so the setting is required.
+    A checkpoint folder set on the context serves as well.  Only a local session
+    without either gets a temporary folder; on a cluster every executor must see
+    the folder, so it is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:

@@ -1,4 +1,4 @@
-"""CSV, JSON and parquet feeds, typed by the contract schema."""
+"""CSV, JSON, parquet, FHIR and HL7 feeds, typed by the contract schema."""
 
 from __future__ import annotations
 
@@ -37,7 +37,7 @@ def read_feed(
     multi_line: bool = False,
     unknown: str = "fail",
 ) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, corrupt records) of a "csv", "json" or "parquet" folder.
+    """(typed rows, corrupt records) of a "csv", "json", "parquet", "fhir" or "hl7" folder.
 
     Types are never inferred.  A record that does not fit the schema goes to the
     second frame with its raw text; both frames know the file they came from.
@@ -47,7 +47,8 @@ def read_feed(
     job, "keep" puts them as text into the map `_unknown_fields`, "reject" (JSON)
     treats the record as corrupt.  Parquet columns outside the schema are kept as
     columns.  `multi_line` reads CSV values with line breaks; such files cannot
-    be split, so it is off unless asked for.
+    be split, so it is off unless asked for.  FHIR and HL7 messages hold claims only;
+    what else they hold is not a field of a claim, and the options do not apply.
     """
     if unknown not in ("fail", "keep", "reject"):
         raise ValueError(f"unknown must be 'fail', 'keep' or 'reject', not {unknown!r}")
@@ -57,10 +58,14 @@ def read_feed(
         none = relaxed(schema).add(CORRUPT, T.StringType()).add(SOURCE_FILE, T.StringType())
         return rows, spark.createDataFrame([], none)
     if fmt == "json":
-        return _read_json(spark, path, schema, options, unknown)
+        return json_rows(spark.read.text(path).select("value", F.col("_metadata.file_path").alias(SOURCE_FILE)), schema, options, unknown)
     if fmt == "csv":
         return _read_csv(spark, path, schema, options | {"multiLine": str(multi_line).lower()}, unknown)
-    raise ValueError(f"format must be 'csv', 'json' or 'parquet', not {fmt!r}")
+    if fmt in ("fhir", "hl7"):
+        from claimstrata.sources import fhir, hl7
+
+        return fhir.read_fhir(spark, path) if fmt == "fhir" else hl7.read_hl7(spark, path)
+    raise ValueError(f"format must be 'csv', 'json', 'parquet', 'fhir' or 'hl7', not {fmt!r}")
 
 
 def _read_csv(
@@ -95,17 +100,18 @@ def _read_csv(
     return raw.where(~corrupt & whole).drop(CORRUPT), raw.where(corrupt & whole)
 
 
-def _read_json(
-    spark: SparkSession, path: str, schema: T.StructType, options: dict[str, str], unknown: str
+def json_rows(
+    text: DataFrame, schema: T.StructType = CLAIMS_SCHEMA, options: dict[str, str] | None = None, unknown: str = "fail"
 ) -> tuple[DataFrame, DataFrame]:
-    """One record per line, parsed from its text: the field names are part of it."""
+    """(typed rows, corrupt records) of the records in `value`, one per line.
+
+    Records are parsed from their text: the field names are part of it.
+    """
     names = F.array(*[F.lit(n) for n in schema.fieldNames()])
-    parsing = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
+    parsing = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
     wanted = relaxed(schema).add(CORRUPT, T.StringType())
     lines = (
-        spark.read.text(path)
-        .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
-        .where(F.trim("value") != "")
+        text.where(F.trim("value") != "")
         .withColumn("record", F.from_json("value", wanted, parsing))
         .withColumn("unknown", F.array_except(F.json_object_keys("value"), names))
     )
@@ -132,6 +138,10 @@ def write_feed(df: DataFrame, path: str, fmt: str, multi_line: bool = False) ->
     A CSV value with a line break stops the write unless `multi_line` says that
     the files will be read as such.
     """
+    if fmt in ("fhir", "hl7"):
+        from claimstrata.sources import fhir, hl7
+
+        return fhir.write_fhir(df, path) if fmt == "fhir" else hl7.write_hl7(df, path)
     options = {"timestampFormat": _WRITTEN_TIMESTAMPS}
     if fmt == "csv":
         options |= _CSV

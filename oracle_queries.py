@@ -334,6 +334,52 @@ LATE = TWO_BATCHES | {
     "kept": f"SELECT * FROM before WHERE NOT {LATE_MONTHS} UNION ALL SELECT * FROM again",
 }
 
+# Tombstones of the second day remove all versions of the first; those of the third come back.
+THIRD_TS = "TIMESTAMP '2024-01-03 00:00:00'"
+DELETES = C | {
+    "back": "SELECT * REPLACE (paid_amount / 2 AS paid_amount) FROM claims "
+    "WHERE right(claim_id, 1) = '3' AND payer_id = 'PAYER_001'",
+    "day_1": _latest_keeping("claims"),
+    "day_3": _latest_keeping("back"),
+    "loaded": (
+        f"SELECT *, {_audit()}, {MONTH_OF} FROM day_1 WHERE claim_id IS NULL OR right(claim_id, 1) NOT IN ('2', '3') "
+        f"UNION ALL SELECT *, {_audit('20240103000000', THIRD_TS)}, {MONTH_OF} FROM day_3"
+    ),
+    "std": _standard("loaded"),
+    "valid": f"SELECT * FROM std WHERE NOT {BROKEN}",
+    "latest": _latest("valid", "_ingested_at", BATCH_FIELDS),
+    "silver": f"SELECT *, {ENRICHED}, {PROCESSED} FROM latest",
+    "month_silver": "SELECT * FROM silver WHERE claim_year = 2001 AND claim_month = 5",
+}
+CODES = "SELECT DISTINCT upper(trim(diagnosis_code)) AS code FROM claims WHERE diagnosis_code IS NOT NULL"
+REFERENCE = GOLD | {
+    "codes": CODES,
+    "reference": (
+        "SELECT DISTINCT left(code, 1) AS prefix, 'Chapter ' || left(code, 1) AS known FROM codes WHERE left(code, 1) <> 'Z' "
+        "UNION SELECT left(code, 3), 'Category ' || left(code, 3) FROM codes WHERE left(code, 1) > 'I' "
+        "UNION SELECT replace(code, '.', ''), 'Code ' || code FROM codes WHERE left(code, 1) IN ('K', 'M')"
+    ),
+    "described": (
+        "SELECT diagnosis_code, known FROM dim_diagnosis JOIN reference "
+        "ON starts_with(replace(diagnosis_code, '.', ''), prefix) "
+        "QUALIFY row_number() OVER (PARTITION BY diagnosis_code ORDER BY length(prefix) DESC) = 1"
+    ),
+}
+
+
+def _message_rejects(other: str, unreadable: str) -> str:
+    """Lines by reject reason, and the claims that Bronze keeps."""
+    return _with(
+        C | {
+            "clean": "SELECT * FROM claims WHERE payer_id IN ('PAYER_001', 'PAYER_004')",
+            "kept": _latest_keeping("clean"),
+        },
+        f"SELECT '{other}' AS reason, count(*) AS lines FROM claims WHERE payer_id = 'PAYER_002' UNION ALL "
+        f"SELECT '{unreadable}' AS reason, count(*) AS lines FROM claims WHERE payer_id = 'PAYER_003' UNION ALL "
+        "SELECT CAST(NULL AS VARCHAR) AS reason, count(*) AS lines FROM kept",
+    )
+
+
 ORACLES: dict[str, str] = {
     "claims_source": CLAIMS,
     "claims_contract_rejects": _with(
@@ -385,6 +431,28 @@ ORACLES: dict[str, str] = {
         + " OR ".join(f"{f} IS NULL" for f in REQUIRED),
     ),
     "bronze_bucketed": _with(BRONZE, "SELECT * FROM bronze"),
+    "bronze_unknown_fields": _with(
+        BRONZE,
+        "SELECT *, CASE WHEN payer_id = 'PAYER_001' THEN 'TIER_' || right(provider_id, 1) END AS network_tier FROM bronze",
+    ),
+    "bronze_fhir": _with(BRONZE, "SELECT * FROM bronze"),
+    "bronze_hl7": _with(BRONZE, "SELECT * FROM bronze"),
+    "fhir_rejects": _message_rejects("other resource", "unreadable entry"),
+    "hl7_rejects": _message_rejects("other delimiters or no MSH", "unreadable: allowed_amount"),
+    "bronze_batch_twice": _with(TWO_BATCHES, "SELECT * FROM stored"),
+    "bronze_stream": _with(BRONZE, "SELECT * FROM first_load"),
+    "quarantine_twice": _with(
+        STORED,
+        f"SELECT *, {FLAG_COLUMNS}, {ERRORS} AS _validation_errors, '2001-0' || CAST(month AS VARCHAR) AS _scope "
+        f"FROM std WHERE {BROKEN} AND year = 2001 AND month IN (5, 6)",
+    ),
+    "silver_deletes": _with(DELETES, "SELECT * FROM silver"),
+    "gold_deletes_month": _with(DELETES | _star("month_silver"), "SELECT * FROM fact_claims"),
+    "gold_dim_diagnosis_reference": _with(
+        REFERENCE,
+        "SELECT d.* REPLACE (coalesce(known, description) AS description) FROM dim_diagnosis d "
+        "LEFT JOIN described USING (diagnosis_code)",
+    ),
     "silver_stored": _with(STORED, "SELECT * FROM silver"),
     "silver_schema_evolution": _with(
         WIDER,

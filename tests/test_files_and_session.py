@@ -110,13 +110,19 @@ def test_workspace_is_below_the_shared_folder(spark):
 
 
 class _Session:
-    def __init__(self, **values):
-        self.conf = self
+    """Settings of a session, and of its context a checkpoint folder or none."""
+
+    def __init__(self, checkpoints=None, **values):
+        self.conf = self.sparkContext = self
+        self.checkpoints = checkpoints
         self.values = values
 
     def get(self, key, default=None):
         return self.values.get(key, default)
 
+    def getCheckpointDir(self):
+        return self.checkpoints
+
 
 def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
@@ -127,6 +133,11 @@ def test_local_session_without_shared_folder_gets_one():
     assert "claimstrata" in workspace(_Session(**{"spark.master": "local[2]"}), "x")
 
 
+def test_folder_set_on_the_context_is_shared():
+    session = _Session("hdfs:///shared", **{"spark.master": "yarn"})
+    assert workspace(session, "x").startswith("hdfs:///shared/")
+
+
 def test_shuffle_settings_follow_the_data():
     assert shuffle_settings(0, cores=8)["spark.sql.shuffle.partitions"] == "8"
     assert shuffle_settings(100 * 2**40, cores=4000)["spark.sql.shuffle.partitions"] == "204800"

@@ -1,5 +1,9 @@
 """Every registered query against SQL on another engine, all cells."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as registry
@@ -51,3 +55,23 @@ def test_sql_gives_the_known_counts(engine, name):
 
 def test_entry_is_the_flagship(spark):
     assert registry.entry(spark).count() == COUNTS["silver_job"]
+
+
+ABSENT = """
+import sys
+class Hide:
+    def find_spec(self, name, path=None, target=None):
+        if name.split(".")[0] == "ahocorasick":
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+sys.meta_path.insert(0, Hide())
+import __spark_entry__ as registry
+print(len([n for n in registry.queries() if not n.startswith("op")]), len([n for n in registry.queries() if n.startswith("op")]))
+"""
+
+
+def test_a_library_of_the_optional_part_may_be_absent():
+    root = Path(registry.__file__).parent
+    done = subprocess.run([sys.executable, "-c", ABSENT], cwd=root, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(NAMES)), "0"]
+    if registry.llm_queries:
+        assert "ahocorasick" in done.stderr
