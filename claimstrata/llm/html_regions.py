@@ -12,11 +12,19 @@ lines that are mostly links, headings apart.  All of its own lines are content,
 short ones included.  Without such a container it is the body: all lines, but
 before and after the cluster's text none that are mostly links, headings apart.
 
+Names are those of containers (div, section, list, table and the like), never of a
+paragraph or a heading, whose ids are slugs of titles.  A name of class or id counts
+as a whole: a word of boilerplate (`comments`), or one together with words of layout
+(`reader-comments`, `ad-slot`; not `ad-free`, `social-policy`).  The id of a section
+counts only if it names comments.  Scripts, styles, buttons and other elements
+without running text end no line, so a paragraph around them stays whole.
+
 Each line is one block of the result: white space runs become one space, blocks
 are joined by an empty line.  Nothing is cut: pages are parsed whole.
 
 Cases: NULL and empty pages, and pages without content, give the empty text;
-unclosed and stray tags are mended as they come; text outside any block is a
+unclosed and stray tags are mended as they come; a comment without end reaches to
+the end of the page, as in a browser; text outside any block is a
 line of its own; repeated rows are read alike; other columns are not read.
 """
 
@@ -40,13 +48,26 @@ BOILERPLATE = frozenset(
     "script style noscript template head title nav header footer aside form button select option textarea iframe "
     "object svg canvas audio video dialog menu".split()
 )
-# Tokens of class and id values, split at anything but letters and digits.
+# Elements whose content is no running text; within a paragraph they do not end it.
+SILENT = frozenset("script style noscript template button select textarea iframe object svg canvas audio video".split())
+# Elements whose names of class and id say what they hold.
+NAMED = frozenset("div section ul ol dl table tbody tr td center details figure fieldset address".split())
+# Words of boilerplate in names.
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies "
     "consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager "
-    "pagination popup promo promoted related replies share sharing sidebar social sponsor sponsored subscribe toolbar "
-    "widget".split()
+    "pagination popup promo promoted reactions related replies responses share sharing sidebar social sponsor sponsored "
+    "subscribe toolbar widget".split()
+)
+# Words of layout that may stand beside them.
+LAYOUT_NAMES = frozenset(
+    "area article articles bar block bottom box btn button buttons cell col column container content crumb fixed flex "
+    "form global grid group hidden holder icons inline inner item items js left layout links list main media mobile "
+    "module news outer page panel placeholder post posts primary reader readers region respond right row secondary "
+    "section sign signup site slot small stack sticky stories text thread title top unit up user view wrap wrapper "
+    "zone".split()
 )
+COMMENT_NAMES = frozenset("comment comments disqus reactions replies responses".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu".split())
 ROOT_TAGS = frozenset(("article", "main"))
 ROOT_NAMES = frozenset("article content entry main post story".split())
@@ -55,11 +76,18 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEARLY_ALL = 90
 SIGMA = 1.5
 CHUNK = 1 << 16
-_NAME = re.compile(r"[A-Za-z0-9]+")
+# Words of a name: runs of letters, an upper-case one starts anew.
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACES = re.compile(r"\s+")
 _CLOSED_BY_ITEM = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
+def is_boilerplate_name(name: str, words: frozenset[str] = BOILERPLATE_NAMES) -> bool:
+    """All words of the name are of boilerplate or layout, and one at least of `words`."""
+    parts = {w.lower() for w in _WORD.findall(name)}
+    return not parts.isdisjoint(words) and parts <= BOILERPLATE_NAMES | LAYOUT_NAMES
+
+
 @dataclass
 class Line:
     """One block of the page and the containers (by number) it stands in."""
@@ -88,7 +116,7 @@ class LineReader(HTMLParser):
         self.lines: list[Line] = []
         self.stack: list[tuple[str, bool, tuple[int, ...]]] = []
         self.parts: list[str] = []
-        self.n_tags = self.n_link = self.links = 0
+        self.n_tags = self.n_link = self.links = self.silent = 0
         # Tag of each container in page order, None where only its name says so.
         self.roots: list[str | None] = []
 
@@ -106,12 +134,20 @@ class LineReader(HTMLParser):
         self.n_tags = self.n_link = 0
 
     def pop_to(self, depth: int) -> None:
-        if any(tag not in INLINE for tag, _, _ in self.stack[depth:]):
-            self.flush()
-        self.links -= sum(tag == "a" for tag, _, _ in self.stack[depth:])
+        closed = [tag for tag, _, _ in self.stack[depth:]]
+        outer = self.silent - sum(tag in SILENT for tag in closed)
+        # What stands inside a silent element is no block of its own.
+        if not outer and any(tag not in INLINE and tag not in SILENT for tag in closed):
+            silent = next((i for i, tag in enumerate(closed) if tag in SILENT), len(closed))
+            if any(tag not in INLINE for tag in closed[:silent]):
+                self.flush()
+        self.links -= closed.count("a")
+        self.silent = outer
         del self.stack[depth:]
 
     def close(self) -> None:
+        if self.rawdata.startswith("<!--"):
+            self.rawdata = ""
         super().close()
         self.flush()
 
@@ -123,6 +159,11 @@ class LineReader(HTMLParser):
             elif tag == "br":
                 self.parts.append(" ")
             return
+        if tag in SILENT or self.silent:
+            self.silent += tag in SILENT
+            self.stack.append((tag, True, ()))
+            self.links += tag == "a"
+            return
         if tag not in INLINE:
             self.flush()
             self.close_implied(tag)
@@ -133,10 +174,13 @@ class LineReader(HTMLParser):
             is_root = root is not None
             boilerplate = tag in BOILERPLATE
             if attrs and not boilerplate and tag not in ("html", "body"):
-                names = set()
+                named, words = False, set()
                 for key, value in attrs:
                     if key in ("class", "id"):
-                        names.update(n.lower() for n in _NAME.findall(value or ""))
+                        names = (value or "").split()
+                        words.update(w.lower() for name in names for w in _WORD.findall(name))
+                        slug = key == "id" and tag == "section"
+                        named |= any(is_boilerplate_name(n, COMMENT_NAMES if slug else BOILERPLATE_NAMES) for n in names)
                     elif key == "role":
                         role = (value or "").strip().lower()
                         boilerplate |= role in BOILERPLATE_ROLES
@@ -147,8 +191,8 @@ class LineReader(HTMLParser):
                     elif key == "style" and re.search(r"display\s*:\s*none", value or "", re.I):
                         boilerplate = True
                 if not is_root:
-                    boilerplate |= not names.isdisjoint(BOILERPLATE_NAMES)
-                    is_root = tag in ("div", "section", "td") and not names.isdisjoint(ROOT_NAMES)
+                    boilerplate |= named and tag in NAMED
+                    is_root = tag in ("div", "section", "td") and not words.isdisjoint(ROOT_NAMES)
             if is_root and not boilerplate:
                 roots = (*roots, len(self.roots))
                 self.roots.append(root)
@@ -178,7 +222,7 @@ class LineReader(HTMLParser):
             if name == tag:
                 self.pop_to(depth)
                 return
-            if name not in INLINE and tag in INLINE:
+            if name not in INLINE and name not in SILENT and tag in INLINE:
                 return
             if name in ("article", "main", "td") and tag in ("p", "li"):
                 return
@@ -186,7 +230,7 @@ class LineReader(HTMLParser):
             self.flush()
 
     def handle_data(self, data: str) -> None:
-        if self.boilerplate and not self.parts and self.stack[-1][0] in ("script", "style"):
+        if self.silent:
             return
         self.parts.append(data)
         if self.links:

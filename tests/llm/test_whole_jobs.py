@@ -1,6 +1,7 @@
 """The whole of a job where an operator once did part of it."""
 
 import itertools
+import random
 
 import pytest
 from samples import documents, rows_of, sentence
@@ -135,3 +136,75 @@ def test_short_blocks_around_the_cluster_stay():
     page = f"<body>{menu}<h1>Title</h1><p>By me</p>{middle}<p>End</p><div class=footer>foot</div>{menu}"
     expected = ["Title", "By me", *BLOCKS[:2], words(20, "linked") + " see", *BLOCKS[2:], "End"]
     assert main_text(page).split("\n\n") == expected
+
+
+P = " ".join(f"word{i} of the article" for i in range(30))
+
+
+@pytest.mark.parametrize(
+    ("inside", "blocks"),
+    [
+        ("<section id='social-policy'><p>policy text</p></section>", ["policy text"]),
+        ("<h2 id='related-work'>Related work</h2>", ["Related work"]),
+        ("<h2 id='comment-on-share-notice'>On</h2>", ["On"]),
+        ("<p class='ad-free'>kept</p><p class='notice-board'>kept too</p>", ["kept", "kept too"]),
+        ("<div class='notice-board'><p>a board</p></div>", ["a board"]),
+        ("<p id='share'>a short one</p>", ["a short one"]),
+        ("<p>Hello <script>x()</script>world</p>", ["Hello world"]),
+        ("<p>Hello <svg><title>t</title><p>in</p></svg>world <button>Press</button>again</p>", ["Hello world again"]),
+        ("<p>Pick <select><option>one<option>two</select>now <object><div>none</div></object>here</p>", ["Pick now here"]),
+        ("<div><button><div>Press</div></button></div><p>after</p>", ["after"]),
+        ("<p>unclosed <button>press</p><p>next</p>", ["unclosed", "next"]),
+        ("<div class='reader-reactions'><p>first!</p></div>", []),
+        ("<section id='comments'><p>first!</p></section>", []),
+        ("<section class='comment-list'><p>first!</p></section>", []),
+        ("<div class='shareButtons'><p>tell all</p></div>", []),
+        ("<div class='ad-slot wide'><p>buy</p></div>", []),
+        ("<ul class='breadcrumbs'><li>home</li></ul>", []),
+        ("<div id='newsletter-signup'><p>mail</p></div>", []),
+    ],
+)
+def test_names_and_silent_elements_in_an_article(inside, blocks):
+    page = f"<body><nav>menu</nav><article><h1>T</h1><p>{P}</p>{inside}<p>{P}</p></article><footer>f</footer>"
+    assert main_text(page).split("\n\n") == ["T", P, *blocks, P]
+
+
+def test_a_comment_without_end_hides_the_rest():
+    page = f"<article><p>{P}</p><p>{P}</p></article>"
+    assert main_text(page + "<!-- oops <p>not shown</p>") == f"{P}\n\n{P}"
+
+
+def random_page(rng):
+    """A page and the blocks of its article."""
+    words = lambda n: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "related", "share", "amet,"]) for _ in range(n))
+    slug = lambda: "-".join(rng.choice(["related", "comment", "share", "notice", "social", "work", "free", "policy", "why"]) for _ in range(3)) + "-why"
+    blocks, html = [], []
+    for _ in range(rng.randint(4, 9)):
+        text, more = words(rng.randint(25, 60)), words(rng.randint(3, 9))
+        kind = rng.randrange(7)
+        if kind == 0:
+            html.append(f"<h2 id='{slug()}'>{more}</h2>")
+            blocks.append(more)
+        elif kind == 1:
+            html.append(f"<section id='{slug()}'><p>{text}</p><div class='inner'><p>{more}</p></div></section>")
+            blocks += [text, more]
+        elif kind == 2:
+            html.append(f"<p>{text} <script>var t = '<p>';</script>{more}</p>")
+            blocks.append(f"{text} {more}")
+        elif kind == 3:
+            html.append(f"<div class='{rng.choice(['reader-comments', 'user-reactions', 'ad-box', 'related-posts'])}'><div><p>{text}</p></div></div>")
+        elif kind == 4:
+            html.append(f"<ul><li>{more}<li>{more}</ul>")
+            blocks += [more, more]
+        html.append(f"<p class='{slug()}'>{text}</p>")
+        blocks.append(text)
+    nav = "".join(f"<li><a href='/{i}'>{words(2)}</a></li>" for i in range(6))
+    page = f"<html><body><nav><ul>{nav}</ul></nav><div class='cookie-notice'>{words(9)}</div><article>{''.join(html)}</article><footer>{words(8)}</footer></body></html>"
+    return page, blocks
+
+
+def test_random_pages_give_their_articles():
+    rng = random.Random(6)
+    for _ in range(300):
+        page, blocks = random_page(rng)
+        assert main_text(page).split("\n\n") == blocks
