@@ -34,6 +34,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -135,14 +136,14 @@ class LineReader(HTMLParser):
 
     def pop_to(self, depth: int) -> None:
         closed = [tag for tag, _, _ in self.stack[depth:]]
-        outer = self.silent - sum(tag in SILENT for tag in closed)
-        # What stands inside a silent element is no block of its own.
-        if not outer and any(tag not in INLINE and tag not in SILENT for tag in closed):
-            silent = next((i for i, tag in enumerate(closed) if tag in SILENT), len(closed))
-            if any(tag not in INLINE for tag in closed[:silent]):
-                self.flush()
         self.links -= closed.count("a")
-        self.silent = outer
+        self.silent -= sum(tag in SILENT for tag in closed)
+        if not self.silent:
+            # What stands inside a silent element is no block of its own.
+            spoken = list(takewhile(lambda tag: tag not in SILENT, closed))
+            del self.stack[depth + len(spoken) :]
+            if any(tag not in INLINE for tag in spoken):
+                self.flush()
         del self.stack[depth:]
 
     def close(self) -> None:
