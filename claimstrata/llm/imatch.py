@@ -9,12 +9,14 @@ text's length, some of them keep about one of its terms, and the share of equal
 hashes among the subsets with any term grows with the terms in common.
 
 Terms are runs of letters and digits, lower-cased, known by their 64-bit hash.
-Document frequencies are counted over all documents, by 2^18 hash slots, so the
-lexicon is a bitmap of 32 KiB whatever the vocabulary.  Slots shared by rare terms
-add a document share of about terms per document / 2^18, far below the band.
+Document frequencies of all terms are counted over all documents, summed up in each
+task before they are shuffled.  A term of the band is in a share `least_share` of the
+documents at least, so the lexicon has no more terms than distinct terms of an average
+document / least_share, however large the corpus: some 2 MB for 250 terms a document.
+Every task holds it as a table of small buckets.
 
 `fingerprint_edits` also needs the next document in descending doc_id.  Documents
-are split at quantiles of doc_id (at most 4096 ranges) and sorted within a range;
+are split at quantiles of doc_id (at most 65,536 ranges) and sorted within a range;
 the first document of each range is sent to the range before it as well, so one
 shuffle carries each text once.
 
@@ -33,10 +35,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimstrata.llm.shared import array_literal
+from claimstrata.llm.shared import array_literal, stored
 
-SLOTS = 1 << 18
-MAX_RANGES = 4096
+MAX_RANGES = 1 << 16
+# Buckets that one row of a step towards the lexicon's table holds.
+PART = 1024
 
 
 @dataclass(frozen=True)
@@ -56,36 +59,43 @@ def terms_of(text: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
 
 
-def _slot(term: Column) -> Column:
-    return term.bitwiseAND(F.lit(SLOTS - 1))
-
-
-def lexicon(docs: DataFrame, n_docs: int, settings: IMatch) -> list[int]:
-    """Bitmap of the slots in the band: SLOTS / 64 numbers."""
-    slots = F.array_distinct(F.transform(terms_of(F.col("text")), _slot))
-    frequent = (
-        docs.select(F.explode(slots).alias("slot"))
-        .groupBy("slot")
+def lexicon(docs: DataFrame, n_docs: int, settings: IMatch) -> DataFrame:
+    """term: hashes of the terms in the band, each once."""
+    return (
+        docs.select(F.explode(terms_of(F.col("text"))).alias("term"))
+        .groupBy("term")
         .agg(F.count("*").alias("df"))
         .where(F.col("df").between(settings.least_share * n_docs, settings.most_share * n_docs))
+        .select("term")
     )
-    bit = F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")
-    rows = frequent.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
-    words = [0] * (SLOTS // 64)
-    for row in rows:
-        words[row["word"]] = row["bits"]
-    return words
 
 
-def in_lexicon(terms: Column, bitmap: Column) -> Column:
-    """Terms in the band, or all of them if none is."""
+def _bucket(term: Column, n_buckets: int) -> Column:
+    return term.bitwiseAND(F.lit(n_buckets - 1).cast("bigint")).cast("int")
 
-    def known(term: Column) -> Column:
-        word = F.element_at(bitmap, (F.shiftright(_slot(term), 6) + 1).cast("int"))
-        return F.call_function("shiftright", word, term.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-    kept = F.filter(terms, known)
-    return F.when(F.size(kept) > 0, kept).otherwise(terms)
+def lexicon_table(terms: DataFrame, n_buckets: int) -> Column:
+    """The terms as one array of buckets, by their last bits; a power of two of buckets."""
+    none = F.lit(None).cast("bigint")
+    every = terms.sparkSession.range(n_buckets).select(F.col("id").cast("int").alias("bucket"), none.alias("term"))
+    buckets = terms.select(_bucket(F.col("term"), n_buckets).alias("bucket"), "term").unionByName(every)
+    in_order = lambda key, value: F.transform(F.sort_array(F.collect_list(F.struct(key, value))), lambda x: x[value])
+    filled = buckets.groupBy("bucket").agg(F.collect_list("term").alias("held"))  # one or two terms, on average
+    parts = filled.groupBy((F.col("bucket") / PART).cast("int").alias("part")).agg(in_order("bucket", "held").alias("buckets"))
+    # A scalar subquery travels with the tasks as plain bytes, not as a literal of the plan.
+    return parts.agg(F.flatten(in_order("part", "buckets")).alias("table")).scalar()
+
+
+def marked(terms: Column, table: Column, n_buckets: int) -> Column:
+    """Each term and whether it is in the band."""
+    known = lambda t: F.array_contains(F.get(table, _bucket(t, n_buckets)), t)
+    return F.transform(terms, lambda t: F.struct(t.alias("term"), known(t).alias("known")))
+
+
+def chosen(marks: Column) -> Column:
+    """Terms in the band, or all of them if none is."""
+    kept = F.filter(marks, lambda m: m["known"])
+    return F.when(F.size(kept) > 0, kept).otherwise(marks)["term"]
 
 
 def _signed(bits: int) -> int:
@@ -171,7 +181,8 @@ def fingerprint_edits(docs: DataFrame, settings: IMatch | None = None) -> DataFr
     settings = settings or IMatch()
     docs = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     n_docs = docs.count()
-    bitmap = array_literal(lexicon(docs, n_docs, settings), "bigint")
+    known_terms = stored(lexicon(docs, n_docs, settings), "lexicon")
+    n_buckets = 1 << max(1, known_terms.count() - 1).bit_length()
     number, tops = _ranges(docs, n_docs, settings)
 
     # Each range ends with a copy of the document that comes next, the last range
@@ -205,11 +216,19 @@ def fingerprint_edits(docs: DataFrame, settings: IMatch | None = None) -> DataFr
         .withColumns(
             {
                 "edited_sha256": F.sha2("edited", 256),
-                "terms": in_lexicon(F.col("terms"), bitmap),
-                "edited_terms": in_lexicon(F.col("edited_terms"), bitmap),
+                "own_table": lexicon_table(known_terms, n_buckets),
+                "edited_table": lexicon_table(known_terms, n_buckets),
+            }
+        )
+        # Tables and terms are used once, so the steps merge; as a column a table would be copied for every row.
+        .withColumns(
+            {
+                "terms": marked(F.col("terms"), F.col("own_table"), n_buckets),
+                "edited_terms": marked(F.col("edited_terms"), F.col("edited_table"), n_buckets),
             }
         )
-        .drop("next_text", "edited")
+        .drop("next_text", "edited", "own_table", "edited_table")
+        .withColumns({"terms": chosen(F.col("terms")), "edited_terms": chosen(F.col("edited_terms"))})
     )
     own = with_fingerprint(with_fingerprint(paired, "terms", "own", settings), "edited_terms", "changed", settings)
     return (

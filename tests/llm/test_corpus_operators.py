@@ -6,6 +6,7 @@ import itertools
 import re
 
 import pytest
+import regex
 import xxhash
 from samples import DOCUMENTS, documents, odd_rows, rows_of, sentence
 
@@ -44,12 +45,12 @@ def plain_fingerprints(rows, settings):
         found = [w for w in re.split(r"[\W_]+", text.lower()) if w]
         return sorted({hash64(w.encode()) for w in found})
 
-    df = collections.Counter(s for t in texts for s in {h & (imatch.SLOTS - 1) for h in terms(t)})
+    df = collections.Counter(h for t in texts for h in set(terms(t)))
     band = {s for s, n in df.items() if settings.least_share * len(texts) <= n <= settings.most_share * len(texts)}
 
     def fingerprint(text):
         all_terms = terms(text)
-        kept = [t for t in all_terms if t & (imatch.SLOTS - 1) in band] or all_terms
+        kept = [t for t in all_terms if t in band] or all_terms
         subsets = [kept]
         again = []
         for seed in range(-(-settings.draws // 8)):
@@ -93,6 +94,24 @@ def test_fingerprints_against_plain_ones(spark, per_range):
         assert got[doc_id][4:] == pytest.approx(values[4:])
 
 
+def test_lexicon_is_the_band_of_terms(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r["text"] for r in docs.select("text").collect()]
+    words = [set(regex.findall(r"[\p{L}\p{N}]+", (t or "").lower())) for t in texts]
+    df = collections.Counter(w for of_text in words for w in of_text)
+    n = len(texts)
+    settings = imatch.IMatch(least_share=0.005)
+    band = {hash64(w.encode()) for w, k in df.items() if 0.005 * n <= k <= 0.1 * n}
+    assert len(band) > 1000
+    assert {r["term"] for r in imatch.lexicon(docs, n, settings).collect()} == band
+
+
+def test_the_lexicon_travels_outside_the_rows(spark):
+    docs = documents(spark, [(i, sentence(i, 20)) for i in range(9)])
+    plan = imatch.fingerprint_edits(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "own_table" not in plan and "edited_table" not in plan and "scalar-subquery" in plan
+
+
 def test_fingerprints_of_odd_rows(spark):
     docs = documents(spark, odd_rows())
     got = imatch.fingerprint_edits(docs).collect()
