@@ -45,9 +45,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimstrata.llm.components import components
-from claimstrata.llm.shared import LOWER, UPPER, stored
+from claimstrata.llm.shared import LOWER, UPPER, own_name, stored
 
 
 @dataclass(frozen=True)
@@ -430,9 +431,8 @@ def block_links(members: DataFrame, sets: DataFrame, settings: NearDuplicates) -
     )
 
 
-def near_duplicates(docs: DataFrame, settings: NearDuplicates | None = None) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
-    settings = settings or NearDuplicates()
+def judged_rows(docs: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, d1, d2 (digest of the set), component_id, kept."""
     rows = stored(sketches(docs, settings), "sketches")
     linkable = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     key = ["n_shingles", "d1", "d2"]
@@ -475,24 +475,45 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates | None = None) ->
         .join(of_class, key, "left")
         .select(
             "doc_id",
-            "n_shingles",
+            *key,
             F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
+def near_duplicates(docs: DataFrame, settings: NearDuplicates | None = None) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
+    return judged_rows(docs, settings or NearDuplicates()).drop("d1", "d2")
+
+
+def with_digest(docs: DataFrame, settings: NearDuplicates, names: tuple[str, str]) -> DataFrame:
+    """All columns of `docs` and the digest of each row's set."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = (t.as_py() for t in batch["text"])
+            digests = [digest(shingle_set(None if t is None else t.encode(), settings.width)) for t in texts]
+            halves = [pa.array([d[k] for d in digests], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *halves], names=[*batch.schema.names, *names])
+
+    schema = T.StructType(docs.schema.fields + [T.StructField(n, T.LongType()) for n in names])
+    return docs.mapInArrow(add, schema)
+
+
 def keep_one_of_each(docs: DataFrame, settings: NearDuplicates | None = None) -> DataFrame:
-    """One document of each component, as it is; rows without doc_id stay."""
-    kept = near_duplicates(docs, settings).where("kept").select("doc_id").distinct()
-    # A doc_id may be repeated; its smallest row by text stays.
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c == "text"], F.lit(0))
-    rank = "__rank"
-    while rank in docs.columns:
-        rank += "_"
+    """One document of each component, as it is; rows without doc_id stay.
+
+    Rows that repeat a doc_id are known by it and their set: one row of each such set
+    that is kept stays, the smallest by text.
+    """
+    settings = settings or NearDuplicates()
+    d1, d2, rank = (own_name(docs, f"__{n}") for n in ("d1", "d2", "rank"))
+    kept = judged_rows(docs, settings).where("kept").select("doc_id", F.col("d1").alias(d1), F.col("d2").alias(d2)).distinct()
+    order = Window.partitionBy("doc_id", d1, d2).orderBy("text")
     chosen = (
-        docs.where(F.col("doc_id").isNotNull())
-        .join(kept, "doc_id", "left_semi")
+        with_digest(docs.where(F.col("doc_id").isNotNull()), settings, (d1, d2))
+        .join(kept, ["doc_id", d1, d2], "left_semi")
         .withColumn(rank, F.row_number().over(order))
         .where(F.col(rank) == 1)
         .select(*docs.columns)

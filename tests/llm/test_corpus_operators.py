@@ -263,11 +263,19 @@ def test_near_duplicates_of_odd_rows(spark):
     assert by_id[1]["n_shingles"] == 0 and by_id[1]["kept"]
     kept = bottom_sketches.keep_one_of_each(docs)
     assert kept.columns == docs.columns
-    assert collections.Counter(r["doc_id"] for r in kept.collect()) == {i: 1 for i in (None, 1, 2, 3, 4, 5, 7, 8, 9, 10)}
+    assert collections.Counter(r["doc_id"] for r in kept.collect()) == {**{i: 1 for i in (None, 1, 2, 3, 4, 5, 7, 8, 10)}, 9: 2}
     empty = spark.createDataFrame([], DOCUMENTS)
     assert bottom_sketches.near_duplicates(empty).count() == bottom_sketches.keep_one_of_each(empty).count() == 0
 
 
+def test_rows_that_repeat_an_id_are_judged_by_their_texts(spark):
+    rows = [(1, sentence(1, 60)), (5, sentence(1, 60)), (5, sentence(2, 60)), (5, sentence(2, 60)), (5, sentence(3, 60)), (7, None), (7, "")]
+    kept = rows_of(bottom_sketches.keep_one_of_each(documents(spark, rows)), "doc_id", "text")
+    assert len(kept) == 4
+    assert {t for i, t in kept if i == 5} == {sentence(2, 60), sentence(3, 60)}
+    assert [i for i, _ in kept if i != 5] == [1, 7]
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, 999), (5, 5), (999, 1000)]
     found = dict(rows_of(components(spark.createDataFrame(links, "u bigint, v bigint")), "node", "root"))
