@@ -46,6 +46,32 @@ def test_language_without_training_rows(spark):
     assert language_ppm.identify_languages(empty).count() == 0
 
 
+def test_unlearned_languages_and_letter_noise_go(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    foreign = [
+        "人工智能是计算机科学的一个分支，它企图了解智能的实质，并生产出一种新的机器。" * 3,
+        "Быстрая коричневая лиса прыгает через ленивую собаку, и это предложение написано по-русски. " * 2,
+        "zxq" * 30,
+        "qwrtp zxkvb mnbvc lkjhg fdsaq " * 10,
+    ]
+    own = "The committee agreed to publish the report next week, after the members had read it and sent their remarks."
+    wide = documents(spark, [(i, t) for i, t in enumerate([*foreign, own, "Bonjour"])])
+    assert sorted(r["doc_id"] for r in language_ppm.keep_identified(wide, docs).collect()) == [4, 5]
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1")
+    clean = docs.join(labels, "doc_id", "left_semi").where(r"text rlike '\\p{L}'")
+    assert language_ppm.keep_identified(clean.select(docs.columns), docs).count() >= 0.998 * clean.count()
+
+
+def test_each_training_text_gives_its_share_at_most(spark):
+    rows = [(i, "ä" * 5000 if i < 3 else f"text {i}", "de", "s") for i in range(60)]
+    sample = language_ppm.Sample(docs=20, bytes=20 * 101)
+    texts = language_ppm.training_texts(documents(spark, rows), sample)["de"]
+    assert len(texts) == 20 and max(map(len, texts)) <= 101
+    every = language_ppm.training_texts(documents(spark, rows), language_ppm.Sample(docs=60, bytes=60 * 101))["de"]
+    trained = [t for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sorted(every) == sorted(t.encode()[:101] for t in trained)
+
+
 def plain_ppm(text, samples):
     """Code length of `text` by walking the contexts, one byte at a time."""
     import math
