@@ -238,19 +238,16 @@ def hub_groups(classes: DataFrame, settings: NearDuplicates) -> DataFrame:
     # classes have `least` values in common, so `meetings` of them are in both prefixes.
     prefix = shared.where(F.col("rank") <= F.col("n_shared") - F.col("least") + F.col("meetings"))
     size = F.floor(F.log("n") / math.log(100 / settings.least_percent)).cast("int")
-    lists = prefix.withColumn("own", size).select(
-        "v",
-        "cls",
-        "own",
-        "meetings",
-        F.struct("fame", -F.col("cls"), "cls").alias("standing"),
-        F.explode(F.array("own", F.col("own") + 1)).alias("size"),
-    )
+    # One number to choose a hub by: the fame, equals in an order of their own.
+    standing = F.shiftleft("fame", 40) + F.xxhash64("cls").bitwiseAND(F.lit((1 << 40) - 1))
+    # Written once: the joins above would else run again for every use below.
+    lists = stored(
+        prefix.select("v", "cls", size.alias("own"), "meetings", standing.alias("standing")), "prefixes"
+    ).select("*", F.explode(F.array("own", F.col("own") + 1)).alias("size"))
     hubs = (
         lists.groupBy("v", "size")
-        .agg(F.count("*").alias("members"), F.max("standing").alias("top"))
+        .agg(F.count("*").alias("members"), F.max_by("cls", "standing").alias("hub"))
         .where(F.col("members") > 1)
-        .select("v", "size", "members", F.col("top.cls").alias("hub"))
     )
     met = lists.drop("standing").join(hubs, ["v", "size"])
     large = met.where(F.col("members") > settings.small_list).select("hub", F.col("cls").alias("x"))
