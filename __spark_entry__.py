@@ -21,6 +21,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from claimstrata.functions.rules import claim_rules, flag_columns
 from claimstrata.operators import checks, marts
+from claimstrata.functions.columns import surrogate_key
+from claimstrata.operators.asof import as_of_join
 from claimstrata.operators.bronze import add_audit_columns, batch_id, deduplicate, latest_per_key, months_touched
 from claimstrata.operators.checks import FACT_RELATIONS
 from claimstrata.operators.quality import dq_gate, dq_metrics
@@ -36,6 +38,7 @@ from claimstrata.operators.sinks import append, balanced, materialize, replace_m
 from claimstrata.plans.bronze import bronze_rows, reference_rows, run_bronze, run_bronze_files
 from claimstrata.plans.gold import run_gold, star_schema
 from claimstrata.plans.layers import Layers
+from claimstrata.plans.marts import PARTIALS, denials_by_category_of, monthly_payer_of, refresh_batch, refresh_partials
 from claimstrata.plans.medallion import run_medallion
 from claimstrata.plans.stream import stream_bronze
 from claimstrata.plans.silver import SilverOptions, quarantine_rows, rerun_touched, run_silver, silver_rows
@@ -48,7 +51,7 @@ from claimstrata.schemas import (
 )
 from claimstrata.session import configure, workspace
 from claimstrata.sources.contract import split_not_null
-from claimstrata.sources.feeds import claims_feed, members_feed, providers_feed
+from claimstrata.sources.feeds import claims_feed, member_versions_feed, members_feed, provider_versions_feed, providers_feed
 from claimstrata.sources.fhir import REASON
 from claimstrata.sources.files import CORRUPT, SOURCE_FILE, UNKNOWN_FIELDS, read_feed, write_feed
 from claimstrata.sources.hl7 import SEPARATOR
@@ -385,17 +388,24 @@ def silver_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_rerun_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver after late claims of two months came in a second batch."""
-    layers, claims = _fresh_layers(spark), _claims(spark, sf_dir)
+    layers, options = _fresh_layers(spark), SilverOptions(as_of=AS_OF, run_ts=RUN_TS)
+    rerun_touched(spark, layers, _two_loads(spark, sf_dir, layers, options), options)
+    return spark.table(layers.table("silver")).drop(SOURCE_FILE)
+
+
+def _two_loads(
+    spark: SparkSession, sf_dir: str, layers: Layers, options: SilverOptions, between: Callable[[], object] = lambda: None
+) -> str:
+    """A first load up to Silver, then late claims of two months in Bronze; their batch."""
+    claims = _claims(spark, sf_dir)
     first, second = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    options = SilverOptions(as_of=AS_OF, run_ts=RUN_TS)
     run_bronze(claims, first, layers, first, nulls="keep")
     run_silver(spark, layers, options=options)
+    between()
     service_month = F.year("service_date") * 100 + F.month("service_date")
     late = claims.where(service_month.isin(200105, 199903))
     corrected = late.withColumn("paid_amount", F.col("paid_amount") + 1)
-    batch = run_bronze(corrected, second, layers, second, nulls="keep")["batch_id"]
-    rerun_touched(spark, layers, batch, options)
-    return spark.table(layers.table("silver")).drop(SOURCE_FILE)
+    return run_bronze(corrected, second, layers, second, nulls="keep")["batch_id"]
 
 
 def quarantine_job_with_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -561,6 +571,49 @@ def _mart(name: str, build: Callable[[dict[str, DataFrame]], DataFrame]) -> Quer
     return query
 
 
+def _versions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Versions of members and providers under the keys of Gold."""
+    return {
+        "provider_key": mask_pii(provider_versions_feed(_table(spark, sf_dir, "supplier"))).withColumn(
+            "provider_key", surrogate_key("provider_id")
+        ),
+        "member_key": mask_pii(member_versions_feed(_table(spark, sf_dir, "customer"))).withColumn(
+            "member_key", surrogate_key("member_id")
+        ),
+    }
+
+
+def _mart_asof(key: str, attribute: str) -> Query:
+    """Claims by an attribute as it was on the service date."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fact = _star(spark, sf_dir)["fact_claims"]
+        return marts.claims_by_version(fact, _versions(spark, sf_dir)[key], key, [attribute])
+
+    return query
+
+
+def star_read_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every claim with its provider's specialty and member's plan on the service date."""
+    versions = _versions(spark, sf_dir)
+    rows = marts.with_service_day(_star(spark, sf_dir)["fact_claims"].select("claim_key", "provider_key", "member_key", "date_key"))
+    for key, attribute in (("provider_key", "specialty"), ("member_key", "plan")):
+        rows = as_of_join(rows, versions[key], key, "service_day", [attribute], newest=["loaded_at"])
+    return rows
+
+
+def _mart_incremental(combine: Callable[[DataFrame], DataFrame]) -> Query:
+    """A mart from stored sums after late claims of two months came in."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layers, options = _fresh_layers(spark), SilverOptions(as_of=AS_OF, run_ts=RUN_TS)
+        batch = _two_loads(spark, sf_dir, layers, options, lambda: refresh_partials(spark, layers))
+        refresh_batch(spark, layers, batch, options)
+        return combine(spark.table(layers.table(PARTIALS)))
+
+    return query
+
+
 def check_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _star(spark, sf_dir)
     return checks.orphan_rows(star["fact_claims"], star)
@@ -681,6 +734,11 @@ def queries() -> dict[str, Query]:
         "mart_star_read": _mart(
             "mart_star_read", lambda s: marts.star_read(s["fact_claims"], s)
         ),
+        "mart_asof_provider": _mart_asof("provider_key", "specialty"),
+        "mart_asof_member": _mart_asof("member_key", "plan"),
+        "star_read_asof": star_read_asof,
+        "mart_incremental_payer": _mart_incremental(monthly_payer_of),
+        "mart_incremental_denials": _mart_incremental(denials_by_category_of),
         "check_orphan_keys": check_orphan_keys,
         "check_orphan_keys_month": check_orphan_keys_month,
         "check_unique_keys": check_unique_keys,

@@ -128,6 +128,23 @@ def replace_batch(
     return _replace_partitions(df, table, {partition_by[0]: batch}, partition_by, path, f"row outside batch {batch}")
 
 
+def replace_found_partitions(df: DataFrame, table: str, partition_by: Sequence[str], path: str | None = None) -> int:
+    """Replace, in one write, the partitions that `df` has rows of, and nothing else.
+
+    The table is made if there is none.  A partition without rows in `df` stays.  From
+    then on the table itself asks for such overwrites: use no other writes but
+    `replace_all`, which makes it anew.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        _save(spark.createDataFrame([], df.schema), table, "append", partition_by, path)
+    df = _widen(spark, table, df)
+    # The mode kept with the table comes before that of the session or of the writer.
+    spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
+    in_order = balanced(df, partition_by).select(*spark.table(table).columns)
+    return _counted(in_order, lambda rows: rows.write.mode("overwrite").insertInto(table))
+
+
 def _replace_partitions(
     df: DataFrame,
     table: str,

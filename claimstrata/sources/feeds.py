@@ -92,3 +92,43 @@ def providers_feed(supplier: DataFrame, nation: DataFrame) -> DataFrame:
         _pick(F.col("s_suppkey") % 3, "cardiology", "family", "radiology").alias("specialty"),
         F.col("n_name").alias("state"),
     )
+
+
+def _history(feed: DataFrame, number: str, versions: int, first: str, spread: int, apart: int) -> DataFrame:
+    """One row per version of each row of `feed`, by its whole `number`.
+
+    Of every fifth number the first two versions start together; of every third the
+    first ends after 200 days.
+    """
+    n, v = F.col(number), F.col("version")
+    steps = F.when((n % 5 == 0) & (v > 0), v - 1).otherwise(v) * apart
+    start = F.date_add(F.lit(first).cast("date"), (n % spread + steps).cast("int"))
+    loaded = F.lit("2000-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days=v.cast("int"))
+    return (
+        feed.withColumn("version", F.explode(F.sequence(F.lit(0).cast("bigint"), (n % versions).cast("bigint"))))
+        .withColumn("valid_from", start)
+        .withColumn("valid_to", F.when((n % 3 == 0) & (v == 0), F.date_add("valid_from", 200)))
+        .withColumn("loaded_at", loaded)
+    )
+
+
+def provider_versions_feed(supplier: DataFrame) -> DataFrame:
+    """Specialties of providers over time, up to four versions each."""
+    return _history(supplier, "s_suppkey", 4, "1992-06-01", 900, 420).select(
+        _padded("PRV", "s_suppkey", 6).alias("provider_id"),
+        _pick((F.col("s_suppkey") + F.col("version")) % 3, "cardiology", "family", "radiology").alias("specialty"),
+        "valid_from",
+        "valid_to",
+        "loaded_at",
+    )
+
+
+def member_versions_feed(customer: DataFrame) -> DataFrame:
+    """Plans of members over time, up to three versions each."""
+    return _history(customer, "c_custkey", 3, "1993-01-01", 700, 500).select(
+        _padded("MBR", "c_custkey", 7).alias("member_id"),
+        _pick((F.col("c_custkey") + F.col("version")) % 3, "gold", "silver", "bronze").alias("plan"),
+        "valid_from",
+        "valid_to",
+        "loaded_at",
+    )

@@ -212,6 +212,34 @@ def _monthly(where: str = "") -> str:
     )
 
 
+DENIALS = (
+    f"SELECT d.category, {TOTALS}, CAST(count(*) FILTER (WHERE is_denied) AS DOUBLE) / count(*) AS denial_rate "
+    "FROM fact_claims f LEFT JOIN dim_diagnosis d ON f.diagnosis_key = d.diagnosis_key GROUP BY d.category"
+)
+
+
+def _history(table: str, number: str, prefix: str, width: int, values: tuple, name: str, versions: int, start: str) -> str:
+    """Versions of members or providers: number, version and start as in the feed."""
+    first, spread, apart = start.split()
+    steps = f"(CASE WHEN {number} % 5 = 0 AND v > 0 THEN v - 1 ELSE v END) * {apart}"
+    begins = f"DATE '{first}' + CAST({number} % {spread} + {steps} AS INTEGER)"
+    picked = f"CASE ({number} + v) % 3 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(values)) + " END"
+    return (
+        f"SELECT md5(sha256('{prefix}' || lpad(CAST({number} AS STRING), {width}, '0') || '|SALT_2024')) AS version_key, "
+        f"{picked} AS {name}, {begins} AS valid_from, CASE WHEN {number} % 3 = 0 AND v = 0 THEN {begins} + 200 END AS valid_to, v "
+        f"FROM {table}, range(0, {versions}) r(v) WHERE v <= {number} % {versions}"
+    )
+
+
+def _as_of(rows: str, key: str, name: str, history: str) -> str:
+    """`rows` with the version that started last, unless it has ended."""
+    return (
+        f"SELECT r.*, CASE WHEN h.valid_to IS NULL OR h.valid_to > r.service_day THEN h.{name} END AS {name} "
+        f"FROM {rows} r LEFT JOIN {history} h ON h.version_key = r.{key} AND h.valid_from <= r.service_day "
+        "QUALIFY row_number() OVER (PARTITION BY r.claim_key ORDER BY h.valid_from DESC NULLS LAST, h.v DESC) = 1"
+    )
+
+
 def _orphans(suffix: str = "") -> str:
     relations = {
         "dim_date": ["date_key"],
@@ -334,6 +362,16 @@ LATE = TWO_BATCHES | {
     "kept": f"SELECT * FROM before WHERE NOT {LATE_MONTHS} UNION ALL SELECT * FROM again",
 }
 
+LATE_STAR = LATE | {"silver": f"SELECT *, {ENRICHED}, {PROCESSED} FROM kept"} | _star()
+
+AS_OF = GOLD | {
+    "providers": _history("supplier", "s_suppkey", "PRV", 6, ("cardiology", "family", "radiology"), "specialty", 4, "1992-06-01 900 420"),
+    "members": _history("customer", "c_custkey", "MBR", 7, ("gold", "silver", "bronze"), "plan", 3, "1993-01-01 700 500"),
+    "dated": "SELECT *, strptime(CAST(date_key AS STRING), '%Y%m%d')::DATE AS service_day FROM fact_claims",
+    "with_specialty": _as_of("dated", "provider_key", "specialty", "providers"),
+    "with_both": _as_of("with_specialty", "member_key", "plan", "members"),
+}
+
 # Tombstones of the second day remove all versions of the first; those of the third come back.
 THIRD_TS = "TIMESTAMP '2024-01-03 00:00:00'"
 DELETES = C | {
@@ -529,8 +567,7 @@ ORACLES: dict[str, str] = {
     "mart_monthly_payer": _with(GOLD, _monthly()),
     "mart_denials_by_category": _with(
         GOLD,
-        f"SELECT d.category, {TOTALS}, CAST(count(*) FILTER (WHERE is_denied) AS DOUBLE) / count(*) AS denial_rate "
-        "FROM fact_claims f LEFT JOIN dim_diagnosis d ON f.diagnosis_key = d.diagnosis_key GROUP BY d.category",
+        DENIALS,
     ),
     "mart_since_start_date": _with(GOLD, _monthly("WHERE d.full_date >= DATE '1998-01-01'")),
     "mart_star_read": _with(
@@ -542,6 +579,13 @@ ORACLES: dict[str, str] = {
         "JOIN dim_provider p ON f.provider_key = p.provider_key "
         "LEFT JOIN dim_diagnosis g ON f.diagnosis_key = g.diagnosis_key",
     ),
+    "mart_asof_provider": _with(AS_OF, f"SELECT specialty, {TOTALS} FROM with_specialty f GROUP BY specialty"),
+    "mart_asof_member": _with(AS_OF, f"SELECT plan, {TOTALS} FROM with_both f GROUP BY plan"),
+    "star_read_asof": _with(
+        AS_OF, "SELECT claim_key, provider_key, member_key, date_key, service_day, specialty, plan FROM with_both"
+    ),
+    "mart_incremental_payer": _with(LATE_STAR, _monthly()),
+    "mart_incremental_denials": _with(LATE_STAR, DENIALS),
     "check_orphan_keys": _with(GOLD, _orphans()),
     "check_orphan_keys_month": _with(GOLD_AND_MONTH, _orphans("_month")),
     "check_unique_keys": _with(GOLD, _repeated()),
