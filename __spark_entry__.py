@@ -25,6 +25,7 @@ from claimstrata.functions.columns import surrogate_key
 from claimstrata.operators.asof import as_of_join
 from claimstrata.operators.bronze import add_audit_columns, batch_id, deduplicate, latest_per_key, months_touched
 from claimstrata.operators.checks import FACT_RELATIONS
+from claimstrata.operators.profile import distinct_ids, month_shifts
 from claimstrata.operators.quality import dq_gate, dq_metrics
 from claimstrata.operators.silver import (
     apply_cdc_dedup,
@@ -40,6 +41,7 @@ from claimstrata.plans.gold import run_gold, star_schema
 from claimstrata.plans.layers import Layers
 from claimstrata.plans.marts import PARTIALS, denials_by_category_of, monthly_payer_of, refresh_batch, refresh_partials
 from claimstrata.plans.medallion import run_medallion
+from claimstrata.plans.profile import profiles_of, refresh_profiles
 from claimstrata.plans.stream import stream_bronze
 from claimstrata.plans.silver import SilverOptions, quarantine_rows, rerun_touched, run_silver, silver_rows
 from claimstrata.schemas import (
@@ -393,6 +395,23 @@ def silver_rerun_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(layers.table("silver")).drop(SOURCE_FILE)
 
 
+def silver_rerun_vanished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after all claims of one payer in two months were deleted, and the months re-run."""
+    layers, claims = _fresh_layers(spark), _claims(spark, sf_dir)
+    options = SilverOptions(as_of=AS_OF, run_ts=RUN_TS, deletes=True)
+    first, second = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    run_bronze(claims, first, layers, first, nulls="keep")
+    run_silver(spark, layers, options=options)
+    gone = _late(claims).where((F.col("payer_id") == "PAYER_004") & F.col("claim_id").isNotNull())
+    batch = run_bronze(gone.withColumn("_is_deleted", F.lit(True)), second, layers, second, nulls="keep")["batch_id"]
+    rerun_touched(spark, layers, batch, options)
+    return spark.table(layers.table("silver")).drop(SOURCE_FILE)
+
+
+def _late(claims: DataFrame) -> DataFrame:
+    return claims.where((F.year("service_date") * 100 + F.month("service_date")).isin(200105, 199903))
+
+
 def _two_loads(
     spark: SparkSession, sf_dir: str, layers: Layers, options: SilverOptions, between: Callable[[], object] = lambda: None
 ) -> str:
@@ -402,9 +421,7 @@ def _two_loads(
     run_bronze(claims, first, layers, first, nulls="keep")
     run_silver(spark, layers, options=options)
     between()
-    service_month = F.year("service_date") * 100 + F.month("service_date")
-    late = claims.where(service_month.isin(200105, 199903))
-    corrected = late.withColumn("paid_amount", F.col("paid_amount") + 1)
+    corrected = _late(claims).withColumn("paid_amount", F.col("paid_amount") + 1)
     return run_bronze(corrected, second, layers, second, nulls="keep")["batch_id"]
 
 
@@ -639,6 +656,26 @@ def check_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.repeated_keys_of({name: (star[name], key) for name, key in keys.items()})
 
 
+def _profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored profiles of all months, two of them profiled twice."""
+    layers = _fresh_layers(spark)
+    _append_bronze(_claims(spark, sf_dir), layers)
+    refresh_profiles(spark, layers)
+    refresh_profiles(spark, layers, [(YEAR, MONTH), (1999, 3)])
+    return profiles_of(spark, layers)
+
+
+def profile_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims, estimated distinct ids and known amounts of each month."""
+    known = F.kll_sketch_get_n_double("billed_amount_ranks").alias("billed")
+    return _profiled(spark, sf_dir).select("year", "month", "claims", distinct_ids().alias("ids"), known)
+
+
+def profile_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each amount moved from month to month (exact for months of up to 2,048 claims)."""
+    return month_shifts(_profiled(spark, sf_dir))
+
+
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = _star(spark, sf_dir)["fact_claims"]
     return checks.null_counts(
@@ -703,6 +740,7 @@ def queries() -> dict[str, Query]:
         "silver_stored": silver_stored,
         "silver_schema_evolution": silver_schema_evolution,
         "silver_rerun_touched": silver_rerun_touched,
+        "silver_rerun_vanished": silver_rerun_vanished,
         "quarantine_job_with_unknown": quarantine_job_with_unknown,
         "quarantine_twice": quarantine_twice,
         "silver_deletes": silver_deletes,
@@ -720,6 +758,8 @@ def queries() -> dict[str, Query]:
         "run_metrics": run_metrics,
         "dq_metrics": quality_metrics,
         "dq_gate": quality_gate,
+        "profile_months": profile_months,
+        "profile_shifts": profile_shifts,
         "mart_monthly_payer": _mart(
             "mart_monthly_payer", lambda s: marts.monthly_payer(s["fact_claims"], s["dim_date"])
         ),

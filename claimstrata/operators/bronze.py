@@ -73,7 +73,7 @@ def _order_key(df: DataFrame, name: str) -> Column:
 
 
 def latest_per_key(
-    df: DataFrame, key: str, newest_first: Sequence[str], keep_null_keys: bool = False
+    df: DataFrame, key: str | Sequence[str], newest_first: Sequence[str], keep_null_keys: bool = False
 ) -> DataFrame:
     """One row per key: the newest by `newest_first`, NULLs last.
 
@@ -81,15 +81,15 @@ def latest_per_key(
     every run and on recomputed tasks.  Spark turns rank = 1 into a group
     limit on both sides of the shuffle: each map task sends at most one row
     per key, however many copies a hot (or NULL) key has.  With
-    `keep_null_keys`, rows without key are told apart by a row number and all
+    `keep_null_keys`, rows without (the first) key are told apart by a row number and all
     stay; that also deals them out evenly.
     """
-    others = [c for c in df.columns if c != key and c not in newest_first]
+    keys = [key] if isinstance(key, str) else list(key)
+    others = [c for c in df.columns if c not in keys and c not in newest_first]
     order = [_order_key(df, c).desc_nulls_last() for c in (*newest_first, *others)]
-    keys = [key]
     if keep_null_keys:
-        row = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-        df, keys = df.withColumn(_ROW, row), [key, _ROW]
+        row = F.when(F.col(keys[0]).isNull(), F.monotonically_increasing_id())
+        df, keys = df.withColumn(_ROW, row), [*keys, _ROW]
     ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col(_RANK) == 1).drop(_RANK, _ROW)
 

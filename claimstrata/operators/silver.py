@@ -79,9 +79,11 @@ def apply_validation_rules(
     return valid_rows(df, rules), quarantined_rows(df, rules, null_flags)
 
 
-def apply_cdc_dedup(df: DataFrame, order_field: str = "_ingested_at") -> DataFrame:
+def apply_cdc_dedup(
+    df: DataFrame, order_field: str = "_ingested_at", key: str | Sequence[str] = "claim_id"
+) -> DataFrame:
     """Latest version of each claim across batches."""
-    return latest_per_key(df, "claim_id", [order_field])
+    return latest_per_key(df, key, [order_field])
 
 
 def is_tombstone() -> Column:
@@ -90,7 +92,10 @@ def is_tombstone() -> Column:
 
 
 def latest_not_deleted(
-    df: DataFrame, rules: dict[str, Column], order_field: str = "_ingested_at"
+    df: DataFrame,
+    rules: dict[str, Column],
+    order_field: str = "_ingested_at",
+    key: str | Sequence[str] = "claim_id",
 ) -> DataFrame:
     """Latest valid version of each claim, unless a tombstone is newer or as new.
 
@@ -101,7 +106,7 @@ def latest_not_deleted(
     gone = is_tombstone()
     valid = F.coalesce(~any_broken(rules), F.lit(False))
     in_force = df.where(valid & ~gone | gone & F.col("claim_id").isNotNull())
-    return latest_per_key(in_force, "claim_id", [order_field, "_is_deleted"]).where(~gone)
+    return latest_per_key(in_force, key, [order_field, "_is_deleted"]).where(~gone)
 
 
 def enrich(df: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:

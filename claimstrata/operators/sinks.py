@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Kept with the table, so a session in dynamic mode still replaces whole months.
@@ -139,12 +140,94 @@ def replace_found_partitions(df: DataFrame, table: str, partition_by: Sequence[s
     if not spark.catalog.tableExists(table):
         _save(spark.createDataFrame([], df.schema), table, "append", partition_by, path)
     df = _widen(spark, table, df)
-    # The mode kept with the table comes before that of the session or of the writer.
-    spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
+    _overwrites(spark, table, "dynamic")
     in_order = balanced(df, partition_by).select(*spark.table(table).columns)
     return _counted(in_order, lambda rows: rows.write.mode("overwrite").insertInto(table))
 
 
+def replace_slices(
+    df: DataFrame,
+    table: str,
+    slices: Sequence[tuple[int | str, ...]],
+    partition_by: Sequence[str],
+    path: str | None = None,
+) -> dict[tuple[int | str, ...], int]:
+    """Replace several slices of a table, such as months, in one write; rows written for each.
+
+    A slice holds values of the first columns of `partition_by`.  Its partitions that
+    `df` has no rows of (payers that are gone) are emptied after the write, one small
+    statement for each; other slices are not touched.  New columns widen the table.
+    A run that fails must be repeated, which gives the same table: partitions that
+    were not yet emptied are found again.
+    """
+    spark, slices = df.sparkSession, [tuple(s) for s in slices]
+    if not slices:
+        return {}
+    if spark.catalog.tableExists(table):
+        df = _widen(spark, table, df)
+    else:
+        _save(spark.createDataFrame([], df.schema), table, "append", partition_by, path)
+    leading = list(partition_by[: len(slices[0])])
+
+    def inside(values: Sequence[int | str]) -> Column:
+        return reduce(and_, [F.col(c) == F.lit(v) for c, v in zip(leading, values, strict=True)])
+
+    stray = F.raise_error(F.lit(f"row outside the listed {', '.join(leading)}")).cast("boolean")
+    checked = df.where(F.when(reduce(or_, map(inside, slices)), True).otherwise(stray))
+    found = Observation()
+    watched = checked.select(*spark.table(table).columns).observe(
+        found,
+        # As texts, as the catalog names partitions.
+        F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in partition_by])).alias("partitions"),
+        *[F.count_if(inside(s)).alias(f"n{i}") for i, s in enumerate(slices)],
+    )
+    _overwrites(spark, table, "dynamic")
+    try:
+        watched.write.mode("overwrite").insertInto(table)
+    finally:
+        _overwrites(spark, table, "static")
+    seen = found.get
+    # Nothing is observed where no task had anything to read.
+    written = {tuple(p[c] for c in partition_by) for p in seen.get("partitions", ())}
+    for values in slices:
+        for gone in _stored_partitions(spark, table, dict(zip(leading, values, strict=True))) - written:
+            _drop_partition(spark, table, dict(zip(partition_by, gone, strict=True)))
+    return {s: seen.get(f"n{i}", 0) for i, s in enumerate(slices)}
+
+
+def _overwrites(spark: SparkSession, table: str, mode: str) -> None:
+    """How overwrites of a table act; kept with it, before the session's or the writer's mode."""
+    spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('partitionOverwriteMode' = '{mode}')")
+
+
+def _spec(values: Mapping[str, int | str | None]) -> str:
+    def literal(value: int | str | None) -> str:
+        if value is None:
+            return "NULL"
+        return f"{value:d}" if isinstance(value, int) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return ", ".join(f"`{c}`={literal(v)}" for c, v in values.items())
+
+
+def _stored_partitions(spark: SparkSession, table: str, under: Mapping[str, int | str]) -> set[tuple[str | None, ...]]:
+    """Values, as texts, of the partitions in the catalog below the given leading values."""
+
+    def value(part: str) -> str | None:
+        text = part.split("=", 1)[1]
+        return None if text == "__HIVE_DEFAULT_PARTITION__" else unquote(text)
+
+    listed = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_spec(under)})").collect()
+    return {tuple(value(part) for part in row["partition"].split("/")) for row in listed}
+
+
+def _drop_partition(spark: SparkSession, table: str, values: Mapping[str, str | None]) -> None:
+    # Emptied first: a table in a folder of its own keeps the files of dropped partitions.
+    kept = [f for f in spark.table(table).schema if f.name not in values]
+    nothing = spark.createDataFrame([], type(spark.table(table).schema)(kept))
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({_spec(values)}) SELECT * FROM {{rows}}", rows=nothing)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(values)})")
+
+
 def _replace_partitions(
     df: DataFrame,
     table: str,
@@ -157,14 +240,15 @@ def _replace_partitions(
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         df = _widen(spark, table, df)
+        # A write of several slices that was cut off may have left the other mode.
+        _overwrites(spark, table, "static")
     else:
         # Not from the frame itself: its observations are for the write below.
         _save(spark.createDataFrame([], df.schema), table, "append", partition_by, path)
     # A row of another partition is an error of the caller, never moved or dropped.
     within = reduce(and_, [F.col(c) == F.lit(value) for c, value in fixed.items()])
     checked = df.where(F.when(within, True).otherwise(F.raise_error(F.lit(stray)).cast("boolean")))
-    literal = lambda value: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else f"{value:d}"
-    target = ", ".join([f"{c}={literal(value)}" for c, value in fixed.items()] + list(partition_by[len(fixed) :]))
+    target = ", ".join([_spec(fixed), *partition_by[len(fixed) :]])
     select = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in fixed)
     return _counted(
         checked,

@@ -15,19 +15,12 @@ from claimstrata.operators.sinks import replace_all, replace_found_partitions
 from claimstrata.plans.bronze import months_of_batch
 from claimstrata.plans.layers import Layers
 from claimstrata.plans.silver import SilverOptions, rerun_touched
+from claimstrata.sources.layers import in_months
 
 PARTIALS = "mart_partials"
 _MONTH = ("claim_year", "claim_month")
 
 
-def in_months(months: list[tuple[int, int]]):
-    """A filter on the partitions of Silver; no month gives no row."""
-    wanted = F.lit(False)
-    for year, month in months:
-        wanted = wanted | ((F.col("claim_year") == year) & (F.col("claim_month") == month))
-    return wanted
-
-
 def refresh_partials(spark: SparkSession, layers: Layers, months: list[tuple[int, int]] | None = None) -> int:
     """Rebuild the stored sums of `months`, or all; returns the rows written.
 
@@ -39,7 +32,7 @@ def refresh_partials(spark: SparkSession, layers: Layers, months: list[tuple[int
         return replace_all(partial_sums(silver, *_MONTH, "payer_id", "diagnosis_code"), target, _MONTH, path)
     if not months:
         return 0
-    rebuilt = partial_sums(silver.where(in_months(months)), *_MONTH, "payer_id", "diagnosis_code")
+    rebuilt = partial_sums(silver.where(in_months(months, *_MONTH)), *_MONTH, "payer_id", "diagnosis_code")
     marks = spark.createDataFrame([(y, m, 0, 0) for y, m in months], "claim_year int, claim_month int, claims long, denied long")
     return replace_found_partitions(rebuilt.unionByName(marks, allowMissingColumns=True), target, _MONTH, path)
 

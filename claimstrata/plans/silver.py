@@ -9,6 +9,7 @@ that are dropped as invalid or older are never hashed.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -27,11 +28,11 @@ from claimstrata.operators.silver import (
     standardize_codes,
     valid_rows,
 )
-from claimstrata.operators.sinks import append, balanced, replace_all, replace_batch, replace_month
+from claimstrata.operators.sinks import append, balanced, replace_all, replace_batch, replace_month, replace_slices
 from claimstrata.plans.bronze import months_of_batch
 from claimstrata.plans.layers import Layers
 from claimstrata.schemas import DEFAULT_SALT, SILVER_PARTITIONS
-from claimstrata.sources.layers import bronze_month
+from claimstrata.sources.layers import bronze_month, bronze_months
 
 
 @dataclass(frozen=True)
@@ -59,14 +60,20 @@ class SilverOptions:
 
 
 def silver_rows(
-    bronze: DataFrame, options: SilverOptions, partitions: tuple[str, ...] = ()
+    bronze: DataFrame,
+    options: SilverOptions,
+    partitions: tuple[str, ...] = (),
+    key: str | Sequence[str] = "claim_id",
 ) -> DataFrame:
-    """Clean claims; with `partitions`, gathered by them for writing."""
+    """Clean claims; with `partitions`, gathered by them for writing.
+
+    A claim is kept once for each `key`.
+    """
     standard, rules = standardize_codes(bronze), options.rules()
     if options.deletes:
-        latest = latest_not_deleted(standard, rules, options.order_field)
+        latest = latest_not_deleted(standard, rules, options.order_field, key)
     else:
-        latest = apply_cdc_dedup(valid_rows(standard, rules), options.order_field)
+        latest = apply_cdc_dedup(valid_rows(standard, rules), options.order_field, key)
     return options.mask(enrich(balanced(latest, partitions), options.run_ts))
 
 
@@ -104,13 +111,87 @@ def run_silver(
     options = _pinned(spark, options)
     bronze = layers.table("bronze")
     rows = spark.table(bronze) if year is None else bronze_month(spark, bronze, year, month)
-
     received = rows
+    if options.deletes and year is not None:
+        rows = rows.unionByName(_undated_tombstones(spark, bronze))
+
+    def store_aside(rejected: DataFrame) -> int:
+        aside, path = layers.table("quarantine"), layers.path("quarantine")
+        if not once:
+            return append(rejected, aside, path=path)
+        scope = "all" if year is None else _scope(year, month)
+        return replace_batch(rejected.withColumn("_scope", F.lit(scope)), aside, scope, ("_scope",), path)
+
+    def store(clean: DataFrame) -> int:
+        target, path = layers.table("silver"), layers.path("silver")
+        if year is None:
+            return replace_all(clean, target, SILVER_PARTITIONS, path)
+        return replace_month(clean, target, year, month, SILVER_PARTITIONS, path)
+
+    return _clean(received, rows, "claim_id", options, store_aside, store)
+
+
+def run_silver_months(
+    spark: SparkSession,
+    layers: Layers,
+    months: Sequence[tuple[int, int]],
+    options: SilverOptions = SilverOptions(),
+    once: bool = False,
+) -> dict[str, Any]:
+    """Clean several Bronze months at once: the rows of one run for each, in one write.
+
+    Only the files of these months are opened.  A claim is kept once per service month,
+    an undated tombstone acts in each.  Months and payers that lost all their claims are
+    emptied.  The counts are totals; `months` has the rows written of each.
+    """
+    months = sorted(set(months))
+    options = _pinned(spark, options)
+    bronze = layers.table("bronze")
+    received = rows = bronze_months(spark, bronze, months)
+    if options.deletes and months:
+        # A row per tombstone and month of the run: both are few.
+        each = F.explode(F.array(*[F.struct(F.lit(y).alias("year"), F.lit(m).alias("month")) for y, m in months]))
+        undated = _undated_tombstones(spark, bronze).withColumn("_of", each)
+        undated = undated.withColumns({c: F.col(f"_of.{c}").cast(rows.schema[c].dataType) for c in ("year", "month")})
+        rows = rows.unionByName(undated.drop("_of"))
+    written: dict[tuple[int, int], int] = {}
+
+    def store_aside(rejected: DataFrame) -> int:
+        aside, path = layers.table("quarantine"), layers.path("quarantine")
+        if not once:
+            return append(rejected, aside, path=path)
+        scoped = rejected.withColumn("_scope", F.format_string("%d-%02d", "year", "month"))
+        return sum(replace_slices(scoped, aside, [(_scope(y, m),) for y, m in months], ("_scope",), path).values())
+
+    def store(clean: DataFrame) -> int:
+        target, path = layers.table("silver"), layers.path("silver")
+        written.update(replace_slices(clean, target, months, SILVER_PARTITIONS, path))
+        return sum(written.values())
+
+    summary = _clean(received, rows, ("claim_id", "year", "month"), options, store_aside, store)
+    return summary | {"months": written}
+
+
+def _scope(year: int, month: int) -> str:
+    return f"{year}-{month:02d}"
+
+
+def _undated_tombstones(spark: SparkSession, bronze: str) -> DataFrame:
+    undated = F.col("year").isNull() | F.col("month").isNull()
+    return spark.table(bronze).where(undated & is_tombstone())
+
+
+def _clean(
+    received: DataFrame,
+    rows: DataFrame,
+    key: str | Sequence[str],
+    options: SilverOptions,
+    store_aside: Callable[[DataFrame], int],
+    store: Callable[[DataFrame], int],
+) -> dict[str, Any]:
+    """Store the quarantine of `received` and Silver of `rows`; the counts of both."""
     if options.deletes:
-        received = rows.where(~is_tombstone())
-        if year is not None:
-            undated = F.col("year").isNull() | F.col("month").isNull()
-            rows = rows.unionByName(spark.table(bronze).where(undated & is_tombstone()))
+        received = received.where(~is_tombstone())
     broken, seen = any_broken(options.rules()), Observation()
     watched = standardize_codes(received).observe(
         seen,
@@ -119,19 +200,8 @@ def run_silver(
         *quality_counts(broken),
     )
     rejected = options.mask(quarantined_rows(watched, options.rules(), options.null_flags))
-    aside, aside_path = layers.table("quarantine"), layers.path("quarantine")
-    if once:
-        scope = "all" if year is None else f"{year}-{month:02d}"
-        quarantined = replace_batch(rejected.withColumn("_scope", F.lit(scope)), aside, scope, ("_scope",), aside_path)
-    else:
-        quarantined = append(rejected, aside, path=aside_path)
-
-    clean = silver_rows(rows, options, partitions=("year", "month", "payer_id"))
-    target, path = layers.table("silver"), layers.path("silver")
-    if year is None:
-        written = replace_all(clean, target, SILVER_PARTITIONS, path)
-    else:
-        written = replace_month(clean, target, year, month, SILVER_PARTITIONS, path)
+    quarantined = store_aside(rejected)
+    written = store(silver_rows(rows, options, partitions=("year", "month", "payer_id"), key=key))
     counts = seen.get
     lost = counts.get("undecided", 0) if options.null_flags == "drop" else 0
     return {
@@ -145,16 +215,16 @@ def run_silver(
 
 
 def rerun_touched(
-    spark: SparkSession, layers: Layers, batch: str, options: SilverOptions = SilverOptions()
-) -> dict[tuple[int, int], dict[str, Any]]:
-    """Re-run every month that a Bronze batch has claims for, late ones included.
+    spark: SparkSession, layers: Layers, batch: str, options: SilverOptions = SilverOptions(), once: bool = False
+) -> dict[tuple[int, int], int]:
+    """Re-run every month that a Bronze batch has claims for; rows written of each.
 
     A daily run cleans its own month only; this is the way to bring late
-    claims into Silver.  The months come from the batch log, so only their
-    files are opened; the driver sees month numbers, nothing else.
+    claims into Silver, all months in one job.  The months come from the batch
+    log, so only their files are opened; the driver sees month numbers, nothing else.
     """
     months = months_of_batch(spark, layers, batch)
-    return {(y, m): run_silver(spark, layers, y, m, options) for y, m in months}
+    return run_silver_months(spark, layers, months, options, once)["months"] if months else {}
 
 
 def _pinned(spark: SparkSession, options: SilverOptions) -> SilverOptions:

@@ -372,6 +372,24 @@ AS_OF = GOLD | {
     "with_both": _as_of("with_specialty", "member_key", "plan", "members"),
 }
 
+# Distances of each month's amounts to the month before, on the quantiles i / 128.
+SHIFTS = STORED | {
+    "amounts": " UNION ALL ".join(
+        f"SELECT year, month, year * 12 + month AS number, '{a}' AS amount, {a} AS value FROM bronze"
+        for a in ("billed_amount", "allowed_amount", "paid_amount")
+    ),
+    "counts": "SELECT year, month, number, amount, count(value) AS observed FROM amounts GROUP BY ALL",
+    "ranked": "SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY number, amount) AS n FROM amounts "
+    "WHERE value IS NOT NULL WINDOW w AS (PARTITION BY number, amount ORDER BY value)",
+    "quantiles": "SELECT number, amount, value FROM ranked JOIN range(1, 128) g(i) ON r = (n * i + 127) // 128",
+    "sides": "SELECT number, amount, value, 1 AS side FROM quantiles "
+    "UNION ALL SELECT number + 1, amount, value, -1 FROM quantiles",
+    "gaps": "SELECT number, amount, side, sum(side) OVER (PARTITION BY number, amount ORDER BY value "
+    "RANGE UNBOUNDED PRECEDING) AS gap FROM sides",
+    "shifts": "SELECT number, amount, CAST(max(abs(gap)) AS DOUBLE) / 128 AS shift FROM gaps GROUP BY ALL "
+    "HAVING count(DISTINCT side) = 2",
+}
+
 # Tombstones of the second day remove all versions of the first; those of the third come back.
 THIRD_TS = "TIMESTAMP '2024-01-03 00:00:00'"
 DELETES = C | {
@@ -498,6 +516,9 @@ ORACLES: dict[str, str] = {
         "UNION ALL BY NAME SELECT * FROM both_silver",
     ),
     "silver_rerun_touched": _with(LATE, f"SELECT *, {ENRICHED}, {PROCESSED} FROM kept"),
+    "silver_rerun_vanished": _with(
+        LATE, f"SELECT *, {ENRICHED}, {PROCESSED} FROM before WHERE NOT ({LATE_MONTHS} AND payer_id = 'PAYER_004')"
+    ),
     "quarantine_job_with_unknown": _with(
         STORED | {
             "of_month": "SELECT * FROM bronze WHERE year = 2001 AND month = 5",
@@ -560,6 +581,19 @@ ORACLES: dict[str, str] = {
         "completeness, uniqueness, validity, timeliness, 'SUCCESS' AS status, "
         f"{RUN_TS} AS logged_at FROM metrics",
     ),
+    "profile_months": _with(
+        STORED,
+        "SELECT year, month, count(*) AS claims, count(DISTINCT claim_id) AS ids, count(billed_amount) AS billed "
+        "FROM bronze GROUP BY year, month",
+    ),
+    "profile_shifts": _with(
+        SHIFTS,
+        "SELECT n.year, n.month, n.amount, n.observed, b.observed AS observed_before, shift, "
+        "CASE WHEN shift IS NOT NULL THEN 0.1e0 + 1.63e0 * sqrt(1e0 / n.observed + 1e0 / b.observed) END AS allowed, "
+        "coalesce(shift > allowed, false) AS drifted FROM counts n "
+        "LEFT JOIN counts b ON b.number = n.number - 1 AND b.amount = n.amount "
+        "LEFT JOIN shifts s ON s.number = n.number AND s.amount = n.amount",
+    ),
     "dq_metrics": _with(QUALITY, "SELECT * FROM metrics"),
     "dq_gate": _with(
         QUALITY, f"SELECT *, {GATE} AS failed_checks, {GATE} = '' AS passed FROM metrics"

@@ -1,0 +1,167 @@
+"""Month profiles, the gates on them, and several months stored in one write."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimstrata.operators.profile import ID_SIGMA, distinct_ids, merged, month_shifts, profile, uniqueness_verdict
+from claimstrata.operators.sinks import replace_month, replace_slices
+from claimstrata.plans.bronze import run_bronze
+from claimstrata.plans.medallion import run_medallion
+from claimstrata.plans.profile import ids_for_gate, profiles_of, refresh_profiles, require_steady
+from claimstrata.plans.silver import SilverOptions, rerun_touched, run_silver, run_silver_months
+from conftest import cells
+
+RUN = dt.datetime(2024, 1, 1)
+OPTIONS = SilverOptions(as_of=dt.date(2001, 12, 31), run_ts=RUN)
+FRAME = "year int, month int, claim_id string, billed_amount double, allowed_amount double, paid_amount double"
+
+
+def amounts(spark, months):
+    """Rows of months: (year, month) -> billed amounts; allowed are all 1, paid NULL."""
+    rows = [(y, m, f"{y}{m}{i}", b, 1.0, None) for (y, m), values in months.items() for i, b in enumerate(values)]
+    return spark.createDataFrame(rows, FRAME)
+
+
+def shifts(spark, months, **choices):
+    rows = month_shifts(profile(amounts(spark, months), ["year", "month"]), **choices).collect()
+    return {(r["year"], r["month"], r["amount"][:1]): r for r in rows}
+
+
+def plain_distance(now, then):
+    """Kolmogorov-Smirnov distance of two samples."""
+    share = lambda values, v: sum(x <= v for x in values) / len(values)
+    return max(abs(share(now, v) - share(then, v)) for v in [*now, *then])
+
+
+def test_shifts_against_plain_distances(spark):
+    draw = random.Random(3)
+    months = {(2000 + (10 + i) // 12, (10 + i) % 12 + 1): [draw.gauss(100, 10 + 3 * i) for _ in range(60 * (i + 1))] for i in range(5)}
+    found, keys = shifts(spark, months), sorted(months)
+    assert found[(*keys[0], "b")]["shift"] is None
+    for before, now in zip(keys, keys[1:], strict=False):
+        row = found[(*now, "b")]
+        assert abs(row["shift"] - plain_distance(months[now], months[before])) <= 1 / 64
+        assert found[(*now, "a")]["shift"] == 0
+
+
+def test_shifted_amounts_are_found_and_small_samples_are_not(spark):
+    draw = random.Random(4)
+    steady = lambda n, factor=1: [factor * draw.expovariate(0.01) for _ in range(n)]
+    found = shifts(spark, {(2001, 1): steady(900), (2001, 2): steady(900), (2001, 3): steady(900, 2), (2001, 4): steady(9)})
+    assert [found[2001, m, "b"]["drifted"] for m in (1, 2, 3, 4)] == [False, False, True, False]
+    assert not any(found[2001, m, k]["drifted"] for m in (1, 2, 3, 4) for k in "ap")
+
+
+def test_gaps_missing_and_odd_values(spark):
+    nan = float("nan")
+    found = shifts(spark, {(2001, 1): [1.0, nan, None], (2001, 2): [None], (2001, 4): [1.0], (2001, 5): [float("inf"), 1.0]})
+    assert [found[2001, m, "b"]["shift"] for m in (1, 2, 4, 5)] == [None, None, None, pytest.approx(0.5, abs=1 / 64)]
+    assert found[2001, 1, "b"]["observed"] == 1
+    assert shifts(spark, {(None, 1): [1.0]}) == {}
+    empty = amounts(spark, {(1, 1): [1.0]}).limit(0)
+    assert profile(empty, ["year"]).count() == 0 and merged(profile(empty, ["year"])).first()["claims"] is None
+
+
+def test_merged_sketches_stay_within_the_stated_error(spark):
+    ids = spark.range(200_000).select(
+        (F.col("id") % 7).cast("int").alias("year"), F.concat(F.lit("C"), F.col("id") % 120_000).alias("claim_id"),
+        *[F.col("id").cast("double").alias(a) for a in ("billed_amount", "allowed_amount", "paid_amount")],
+    )
+    row = merged(profile(ids, ["year"])).select("claims", distinct_ids().alias("ids"), F.kll_sketch_get_quantile_double("paid_amount_ranks", F.lit(0.5)).alias("half")).first()
+    assert row["claims"] == 200_000
+    assert abs(row["ids"] / 120_000 - 1) < 4 * ID_SIGMA
+    assert abs(row["half"] - 100_000) < 0.01 * 200_000
+
+
+def test_ids_are_counted_only_near_the_threshold(spark):
+    assert uniqueness_verdict(1000, 990, 95) is True
+    assert uniqueness_verdict(1000, 900, 95) is False
+    assert uniqueness_verdict(1000, 950, 95) is uniqueness_verdict(1000, 955, 95) is None
+    assert uniqueness_verdict(0, 0, 95) is False
+    rows = spark.range(1000).select(F.lit(1).alias("year"), F.concat(F.lit("C"), F.col("id") % 950).alias("claim_id"), *[F.lit(1.0).alias(a) for a in ("billed_amount", "allowed_amount", "paid_amount")])
+    profiles = profile(rows, ["year"])
+    assert ids_for_gate(rows, profiles, 95) == (950, True)
+    ids, exact = ids_for_gate(rows, profiles, 80)
+    assert not exact and abs(ids - 950) <= 4 * ID_SIGMA * 950
+
+
+def service(month, **more):
+    return {"service_date": dt.datetime(2001, month, 7), "ingestion_ts": dt.datetime(2001, month, 8), **more}
+
+
+def test_medallion_stops_at_a_shift(spark, claims, layers):
+    amount = lambda month, factor: [service(month, claim_id=f"{month}-{i}", billed_amount=factor * (i + 1.0), allowed_amount=0.5, paid_amount=0.5) for i in range(300)]
+    run = lambda month, factor: run_medallion(spark, claims(*amount(month, factor)), dt.datetime(2001, month, 28), layers, options=OPTIONS, sketched=True, max_shift=0.1)
+    assert run(3, 1)["uniqueness"] == pytest.approx(100, abs=2)
+    run(4, 1)
+    with pytest.raises(ValueError, match="distributions shifted: billed_amount in 2001-05"):
+        run(5, 3)
+    require_steady(profiles_of(spark, layers), [(2001, 4)], 0.1)
+    assert cells(spark.table(layers.table("fact_claims")).select(F.substring("claim_id", 1, 1)).distinct()) == [("4",)]
+
+
+def test_profiles_follow_their_months(spark, claims, layers):
+    run_bronze(claims(service(3, claim_id="A"), service(4, claim_id="B")), RUN, layers, RUN)
+    assert refresh_profiles(spark, layers) == 2
+    run_bronze(claims(service(4, claim_id="C"), service(6, claim_id="D")), RUN + dt.timedelta(days=1), layers, RUN)
+    assert refresh_profiles(spark, layers, [(2001, 4), (2001, 5)]) == 1
+    assert refresh_profiles(spark, layers, []) == 0
+    assert cells(profiles_of(spark, layers), "month", "claims") == [(3, 1), (4, 2)]
+
+
+# --- several months in one write -------------------------------------------------
+
+
+def test_slices_are_replaced_and_others_stay(spark, layers):
+    table, path, by = layers.table("t"), layers.path("t"), ("y", "m", "p")
+    rows = lambda *r: spark.createDataFrame(list(r), "v int, y int, m int, p string")
+    odd = "a=b/c 'd' \\ %41"
+    replace_slices(rows((1, 1, 1, "a"), (2, 1, 1, odd), (3, 1, 1, None), (4, 1, 2, "a"), (5, 2, 1, "a")), table, [(1, 1), (1, 2), (2, 1)], by, path)
+    assert replace_slices(rows((6, 1, 1, "b"), (7, 2, 1, "a")), table, [(1, 1), (2, 1)], by, path) == {(1, 1): 1, (2, 1): 1}
+    kept = [(4, 1, 2, "a"), (6, 1, 1, "b"), (7, 2, 1, "a")]
+    assert cells(spark.table(table), "v", "y", "m", "p") == kept
+    # The folder holds no rows but the table's.
+    assert cells(spark.read.parquet(path), "v") == [(4,), (6,), (7,)]
+    assert replace_slices(rows((8, 1, 1, odd), (9, 1, 1, None)).limit(0), table, [(1, 1)], by, path) == {(1, 1): 0}
+    assert cells(spark.table(table), "v") == [(4,), (7,)]
+    assert replace_slices(rows((8, 1, 1, odd)), table, [], by, path) == {}
+    with pytest.raises(Exception, match="outside the listed"):
+        replace_slices(rows((8, 3, 1, "a")), table, [(1, 1)], by, path)
+    # Writes of one month still remove payers that are gone.
+    replace_month(rows((1, 2, 1, "z")), table, 2, 1, by, path)
+    assert cells(spark.table(table), "v", "p") == [(1, "z"), (4, "a")]
+
+
+def tombstones(claims, *rows):
+    return claims(*rows).withColumn("_is_deleted", F.lit(True))
+
+
+def test_months_at_once_equal_months_one_by_one(spark, claims, layers):
+    one, other, third = layers, *[type(layers)(f"{layers.prefix}_{n}", f"{layers.root}_{n}") for n in "bc"]
+    options = SilverOptions(as_of=OPTIONS.as_of, run_ts=RUN, deletes=True)
+    first = claims(
+        service(3, claim_id="A"), service(3, claim_id="B", payer_id="PAYER_002"), service(4, claim_id="C"), service(4, claim_id="D", claim_type="?"), service(5, claim_id="E"),
+    )
+    late = tombstones(claims, service(3, claim_id="B", payer_id="PAYER_002"), {"claim_id": "A", "service_date": None}).unionByName(
+        claims(service(4, claim_id="C", paid_amount=1.0)), allowMissingColumns=True
+    )
+    day, noon = RUN + dt.timedelta(days=1), RUN + dt.timedelta(hours=12)
+    for layers in (one, other, third):
+        run_bronze(first.withColumn("_is_deleted", F.lit(False)), RUN, layers, RUN, nulls="keep")
+        # The same claim in a second month.
+        run_bronze(claims(service(4, claim_id="A")), noon, layers, noon)
+    for layers in (one, other):
+        run_silver(spark, layers, options=options)
+        batch = run_bronze(late, day, layers, day, nulls="keep")["batch_id"]
+    for month in (3, 4):
+        run_silver(spark, one, 2001, month, options)
+    assert rerun_touched(spark, other, batch, options) == {(2001, 3): 0, (2001, 4): 1}
+    silver = [cells(spark.table(l.table("silver")).drop("_source_file")) for l in (one, other)]
+    assert silver[0] == silver[1] and len(silver[1]) == 2
+    for _ in range(2):
+        result = run_silver_months(spark, third, [(2001, 4), (2001, 3)], OPTIONS, once=True)
+    assert (result["input_records"], result["output_records"], result["quarantined"]) == (5, 4, 1)
+    assert cells(spark.table(third.table("quarantine")), "claim_id", "_scope") == [("D", "2001-04")]
