@@ -354,3 +354,36 @@ def test_diagnoses_without_reference_are_as_before(claims):
     silver = claims({}, {"diagnosis_code": None})
     empty = silver.sparkSession.createDataFrame([], "icd10_prefix string, description string")
     assert cells(build_dim_diagnosis(silver)) == cells(build_dim_diagnosis(silver, empty))
+
+
+@pytest.mark.parametrize("fmt", ["fhir", "hl7", "json", "csv"])
+def test_compressed_feeds_hold_the_same_rows(spark, claims, tmp_path, monkeypatch, fmt):
+    from claimstrata.sources import files
+
+    monkeypatch.setitem(files._RECORDS_PER_FILE, fmt, 10)
+    rows = claims(*[{"claim_id": f"CLM{i}1", "procedure_code": None if i % 3 else "9|9\\1^3"} for i in range(35)]).coalesce(1)
+    folder = tmp_path / "feed"
+    write_feed(rows, str(folder), fmt, compressed=True)
+    assert len(list(folder.glob("*.gz"))) == len(list(folder.glob("part-*"))) == 4
+    read, corrupt = read_feed(spark, str(folder), fmt)
+    assert cells(read.drop(SOURCE_FILE)) == cells(rows) and corrupt.count() == 0
+
+
+@pytest.mark.parametrize("fmt", ["fhir", "hl7"])
+def test_messages_are_parsed_once(spark, claims, layers, tmp_path, monkeypatch, fmt):
+    seen, run = [], bronze_plan.run_bronze
+
+    def watched(rows, *args, set_aside=None, **others):
+        seen.extend((plan_of(rows), plan_of(set_aside)))
+        return run(rows, *args, set_aside=set_aside, **others)
+
+    monkeypatch.setattr(bronze_plan, "run_bronze", watched)
+    folder = tmp_path / "feed"
+    write_feed(claims({"claim_id": "CLM11"}, {"claim_id": "CLM12"}), str(folder), fmt)
+    (folder / "bad.txt").write_text("MSH|#~\\&|\n" if fmt == "hl7" else "no bundle\n")
+    summary = run_bronze_files(spark, str(folder), fmt, dt.datetime(2024, 1, 1), layers)
+    assert (summary["records_loaded"], summary["records_failed"]) == (2, 1)
+    assert len(seen) == 2 and all("FileScan text" not in plan and "FileScan parquet" in plan for plan in seen)
+    # The table that both were read from is gone, its rows as well.
+    assert not [t for t in spark.catalog.listTables() if layers.prefix in t.name and "incoming" in t.name]
+    assert spark.read.parquet(f"{layers.root}/incoming_*").count() == 0
