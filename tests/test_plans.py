@@ -118,3 +118,16 @@ def test_bucketed_bronze_saves_the_silver_shuffle(spark, claims, layers):
     clean = silver_rows(bronze_month(spark, layers.table("bronze"), 2001, 5), OPTIONS)
     assert shuffles(plan_of(clean)) == 0
     assert cells(clean, "claim_id", "paid_amount", "tier") == [("2", 60.0, None), ("CLM1", 1.0, "gold")]
+
+
+def test_arriving_files_are_not_gathered_by_payer(spark, monkeypatch):
+    """No exchange by payer, which would send half of all rows to one task."""
+    batches = []
+    monkeypatch.setattr(registry, "stream_bronze", lambda s, folder, *_, **k: batches.append((s.read.text(folder).count(), k["files_per_batch"])))
+    monkeypatch.setattr(registry, "latest_per_key", lambda *_, **__: None)
+    monkeypatch.setattr(registry.Layers, "table", lambda *_: "unused")
+    monkeypatch.setattr(registry, "compressed_files", lambda fmt: {"compression": "gzip", "maxRecordsPerFile": "500"})
+    spark.createDataFrame([], registry.CLAIMS_SCHEMA).createOrReplaceTempView("unused")
+    registry.bronze_stream(spark, SF_DIR)
+    # More than one file for each payer, half of a run's in a micro-batch.
+    assert batches[-1][0] == registry._claims(spark, SF_DIR).count() and batches[-1][1] >= 3
