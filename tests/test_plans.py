@@ -120,6 +120,15 @@ def test_bucketed_bronze_saves_the_silver_shuffle(spark, claims, layers):
     assert cells(clean, "claim_id", "paid_amount", "tier") == [("2", 60.0, None), ("CLM1", 1.0, "gold")]
 
 
+def test_appended_bronze_shuffles_no_stamps(spark, claims, layers, monkeypatch):
+    plans = []
+    monkeypatch.setattr(registry, "append", lambda rows, *_: plans.append(plan_of(rows)))
+    registry._append_bronze(claims({}), layers)
+    (plan,) = plans
+    rebalance = plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert plan.index("_ingested_by") < rebalance and "_ingested_by" not in plan[rebalance:]
+
+
 def test_arriving_files_are_not_gathered_by_payer(spark, monkeypatch):
     """No exchange by payer, which would send half of all rows to one task."""
     batches = []
@@ -131,3 +140,9 @@ def test_arriving_files_are_not_gathered_by_payer(spark, monkeypatch):
     registry.bronze_stream(spark, SF_DIR)
     # More than one file for each payer, half of a run's in a micro-batch.
     assert batches[-1][0] == registry._claims(spark, SF_DIR).count() and batches[-1][1] >= 3
+
+
+def test_layers_are_stored_as_zstd(spark, stored):
+    for layer in ("bronze", "silver"):
+        files = spark.table(stored.table(layer)).inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
