@@ -1,8 +1,8 @@
 """Versions of members and providers as they were at a time.
 
-The lookup runs on distinct pairs of key and date, merged with the versions in one
-order per key, the last version carried forward.  No join on a condition, and a key
-that holds a third of all rows has at most one line per day there.
+Versions of a key become spans that do not overlap, so a row meets at most one.  Rows
+meet them by key and are moved once, if at all: Spark sends spans that are few to all
+tasks, and splits a key that holds a third of all rows.
 """
 
 from __future__ import annotations
@@ -12,51 +12,51 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_AT, _STATE, _ASKED = "__at", "__state", "__asked"
+_FROM, _UNTIL, _STATE, _KEY, _SOUGHT = "__from", "__until", "__state", "__key", "__sought"
 
 
-def versions_at(
-    moments: DataFrame,
+def version_spans(
     versions: DataFrame,
     key: str,
-    at: str,
     attributes: Sequence[str],
     valid_from: str = "valid_from",
     valid_to: str | None = "valid_to",
     newest: Sequence[str] = (),
 ) -> DataFrame:
-    """`attributes` for each distinct (key, at) of `moments`; `at` should be a date.
+    """Key, attributes and the times `__from` to before `__until` of the versions in force.
 
-    In force is the version with the latest `valid_from` up to that date, and of
-    several that start together the one that is largest by `newest`, then by its
-    attributes.  It ends before `valid_to`: from then on, and before the first
-    version, attributes are NULL.  A NULL key or date is not in the result; versions
-    without key or start never count.
+    Of several that start together the one counts that is largest by `newest`, then by
+    its attributes.  It ends where the next one starts, or before `valid_to`; `__until`
+    is NULL if neither is known.  Versions without key or start never count.
     """
     ends = F.lit(None).cast(versions.schema[valid_from].dataType) if valid_to is None else F.col(valid_to)
     last = F.max(F.struct(*newest, *attributes, ends.alias("__ends")))
     starts = (
         versions.where(F.col(valid_from).isNotNull() & F.col(key).isNotNull())
-        .groupBy(key, F.col(valid_from).alias(_AT))
+        .groupBy(key, F.col(valid_from).alias(_FROM))
         .agg(last.alias(_STATE))
     )
-    asked = moments.select(key, F.col(at).alias(_AT)).dropna().distinct()
-    # On one day the version comes before the question.
-    line = starts.withColumn(_ASKED, F.lit(False)).unionByName(
-        asked.withColumn(_ASKED, F.lit(True)), allowMissingColumns=True
-    )
-    so_far = Window.partitionBy(key).orderBy(_AT, _ASKED).rowsBetween(Window.unboundedPreceding, 0)
-    carried = line.withColumn(_STATE, F.last(_STATE, ignorenulls=True).over(so_far)).where(_ASKED)
-    ended = F.coalesce(F.col(f"{_STATE}.__ends") <= F.col(_AT), F.lit(False))
-    return carried.select(
-        key, F.col(_AT).alias(at), *[F.when(~ended, F.col(f"{_STATE}.{a}")).alias(a) for a in attributes]
+    following = F.lead(_FROM).over(Window.partitionBy(key).orderBy(_FROM))
+    return starts.withColumn(_UNTIL, F.least(following, F.col(f"{_STATE}.__ends"))).select(
+        key, _FROM, _UNTIL, *[F.col(f"{_STATE}.{a}").alias(a) for a in attributes]
     )
 
 
 def as_of_join(rows: DataFrame, versions: DataFrame, key: str, at: str, attributes: Sequence[str], **choices) -> DataFrame:
     """Every row of `rows` with the attributes in force for its key at its date.
 
-    Rows meet the versions by key and date, so a hot key is spread over its days.
-    Choices and cases as in `versions_at`; a row without key or date keeps NULLs.
+    Choices and cases as in `version_spans`; before the first version, after `valid_to`
+    and without key or date attributes are NULL.
     """
-    return rows.join(versions_at(rows, versions, key, at, attributes, **choices), [key, at], "left")
+    spans = version_spans(versions, key, attributes, **choices).withColumnRenamed(key, _KEY)
+    inside = (F.col(at) >= F.col(_FROM)) & (F.col(_UNTIL).isNull() | (F.col(at) < F.col(_UNTIL)))
+    others = [c for c in rows.columns if c not in (key, at)]
+    # Always the key itself.  A key that is one constant would else leave the join no equality.
+    sought = F.when(F.monotonically_increasing_id() >= 0, F.col(key))
+    met = rows.withColumn(_SOUGHT, sought).join(spans, (F.col(_SOUGHT) == F.col(_KEY)) & inside, "left")
+    return met.select(key, at, *others, *attributes)
+
+
+def versions_at(moments: DataFrame, versions: DataFrame, key: str, at: str, attributes: Sequence[str], **choices) -> DataFrame:
+    """`attributes` for each distinct (key, at) of `moments`; a NULL key or date is not in the result."""
+    return as_of_join(moments.select(key, at).dropna().distinct(), versions, key, at, attributes, **choices)

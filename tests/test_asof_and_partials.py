@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from pathlib import Path
 
 from claimstrata.operators.asof import as_of_join, versions_at
@@ -149,3 +150,16 @@ def test_only_touched_partitions_are_read(spark, claims, layers):
     opened = silver.where(in_months([(2001, 4)])).inputFiles()
     assert opened and all("claim_month=4" in f for f in opened)
     assert silver.where(in_months([])).count() == 0
+
+
+def test_rows_are_moved_once_to_their_versions(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = spark.range(1000).selectExpr("CAST(id AS int) id", "CAST(id % 7 AS string) AS key", f"DATE '{DAY}' + CAST(id % 30 AS int) AS day")
+    versions = spark.createDataFrame([("1", later(3), None, 1, "x")], VERSIONS)
+    try:
+        plan = as_of_join(rows, versions, "key", "day", ["state"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The rows once, by their key alone; the versions by key and start, then by key.
+    by = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan)
+    assert len(by) == 3 and sum("__sought" in keys for keys in by) == 1 and not any("day" in keys for keys in by)
