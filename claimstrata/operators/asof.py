@@ -1,8 +1,8 @@
 """Versions of members and providers as they were at a time.
 
 Versions of a key become spans that do not overlap, so a row meets at most one.  Rows
-meet them by key and are moved once, if at all: Spark sends spans that are few to all
-tasks, and splits a key that holds a third of all rows.
+meet them by key and are moved once; adaptive execution splits a key that holds a third
+of all rows.
 """
 
 from __future__ import annotations
@@ -53,7 +53,8 @@ def as_of_join(rows: DataFrame, versions: DataFrame, key: str, at: str, attribut
     others = [c for c in rows.columns if c not in (key, at)]
     # Always the key itself.  A key that is one constant would else leave the join no equality.
     sought = F.when(F.monotonically_increasing_id() >= 0, F.col(key))
-    met = rows.withColumn(_SOUGHT, sought).join(spans, (F.col(_SOUGHT) == F.col(_KEY)) & inside, "left")
+    # Merged, not sent to all tasks: a size guessed from the files of keys says little of their versions.
+    met = rows.withColumn(_SOUGHT, sought).join(spans.hint("merge"), (F.col(_SOUGHT) == F.col(_KEY)) & inside, "left")
     return met.select(key, at, *others, *attributes)
 
 
