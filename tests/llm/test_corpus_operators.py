@@ -412,3 +412,13 @@ def test_a_long_chain_of_replies(spark):
     rows = [(1, t, "u", (f"> word{t - 1}\n" if t else "") + f"word{t}") for t in range(70)]
     got = rows_of(quote_links.reply_order(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")), "turn", "depth", "thread_turn", "text")
     assert sorted(got) == [(t, t, 0, f"word{t}") for t in range(70)]
+
+
+def test_sizes_of_sets_do_not_travel_with_each_value(spark, monkeypatch):
+    lists = []
+    monkeypatch.setattr(bottom_sketches, "stored", lambda df, name: lists.append(df) or df)
+    classes = spark.createDataFrame([(i, 4, [1, 2, 3, 4 + i]) for i in range(6)], "cls long, n long, sketch array<long>")
+    bottom_sketches.hub_groups(classes, bottom_sketches.NearDuplicates())
+    plan = lists[0]._jdf.queryExecution().executedPlan().toString()
+    carried = re.findall(r"Generate explode\(sketch#\d+\), \[([^\]]*)\]", plan)
+    assert carried and not any(re.search(r"\bn#", columns) for columns in carried)
