@@ -146,3 +146,8 @@ def test_layers_are_stored_as_zstd(spark, stored):
     for layer in ("bronze", "silver"):
         files = spark.table(stored.table(layer)).inputFiles()
         assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_a_feed_of_several_batches_is_derived_once(spark):
+    landed = registry._landed_claims(spark, SF_DIR)
+    assert "Join" not in plan_of(landed) and cells(landed) == cells(registry._claims(spark, SF_DIR))
