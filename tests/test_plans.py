@@ -70,6 +70,21 @@ def test_write_is_rebalanced_by_partition(spark, stored):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(rows)
 
 
+def test_claims_are_sorted_by_their_codes_before_the_layout(spark, claims, stored):
+    laid_out = _by_partition(claims({}, {"claim_type": None}, {"claim_status": " DENIED"}))
+    clean = silver_rows(spark.table(stored.table("bronze")), OPTIONS, ("year", "month", "payer_id"))
+    for rows in (laid_out, clean):
+        plan = plan_of(rows)
+        below = plan[plan.index("REBALANCE_PARTITIONS_BY_COL") :]
+        assert re.search(r"Sort \[year#\d+ ASC.*claim_type#\d+ ASC", below)
+    # The other rows of a layout have no codes, and stay as they are.
+    other = balanced(claims({}).select("claim_id", "payer_id"), ("payer_id",))
+    assert "Sort" not in plan_of(other)
+    assert cells(laid_out, "claim_type", "claim_status") == [
+        ("inpatient", " DENIED"), ("inpatient", "paid"), (None, "paid")
+    ]
+
+
 def test_dimensions_read_their_columns_only(spark, stored):
     star = star_schema(spark.table(stored.table("silver")), RUN)
     wanted = {
