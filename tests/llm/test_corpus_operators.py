@@ -422,3 +422,24 @@ def test_sizes_of_sets_do_not_travel_with_each_value(spark, monkeypatch):
     plan = lists[0]._jdf.queryExecution().executedPlan().toString()
     carried = re.findall(r"Generate explode\(sketch#\d+\), \[([^\]]*)\]", plan)
     assert carried and not any(re.search(r"\bn#", columns) for columns in carried)
+
+
+def test_inverted_lists_are_shuffled_once(spark):
+    classes = spark.createDataFrame([(i, 4, [1, 2, 3, 4 + i]) for i in range(20)], "cls long, n long, sketch array<long>")
+    groups = bottom_sketches.hub_groups(classes, bottom_sketches.NearDuplicates())
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    # By value after the lists are stored, then by pair: no list travels again to meet its hub.
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    assert "Join" not in plan
+
+
+@pytest.mark.parametrize("n", [3, 8, 9, 30])
+def test_members_of_small_lists_are_paired_and_of_large_ones_meet_the_hub(spark, n):
+    rows = [(i, 20, [*range(1, 20), 100 + i]) for i in range(n)] + [(1000, 12, [1, 2, *range(500, 510)])]
+    classes = spark.createDataFrame(rows, "cls long, n long, sketch array<long>")
+    got = {(r["hub"], r["x"]) for r in bottom_sketches.hub_groups(classes, bottom_sketches.NearDuplicates()).collect()}
+    if n <= 8:
+        assert got == {(a, b) for a in range(n) for b in range(a + 1, n)}
+    else:
+        assert len(got) == n - 1 and len({hub for hub, _ in got}) == 1
+        assert {x for pair in got for x in pair} == set(range(n))
