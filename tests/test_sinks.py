@@ -1,7 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from claimstrata.operators.sinks import append, materialize, replace_all, replace_month
+from claimstrata.operators.sinks import append, balanced, materialize, replace_all, replace_month
 from conftest import cells, plan_of
 from claimstrata.operators.bronze import latest_per_key
 
@@ -102,3 +104,16 @@ def test_materialize(spark, rows, layers):
     assert materialize(df, layers.table("m"), "table", layers.path("m")).count() == 1
     with pytest.raises(ValueError):
         materialize(df, "x", "cube")
+
+
+def test_a_jobs_shuffles_end_with_it(spark, rows, layers):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = shuffles()
+    frame = rows(*((i, f"P{i % 3}", 2001, 5) for i in range(50)))
+    replace_all(balanced(latest_per_key(frame, "id", ["claim_year"]), PARTS), layers.table("t"), PARTS, layers.path("t"))
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.table(layers.table("t")).count() == 50
