@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 from samples import documents, rows_of, sentence
@@ -10,7 +11,9 @@ from test_corpus_operators import mutated, near_rows, shingles
 import corpus_pipeline
 from claimstrata.llm import target_ratio
 from claimstrata.llm.html_regions import main_text
+from claimstrata.llm.shared import stored
 from claimstrata.llm.target_ratio import QualityLimits
+from claimstrata.session import SHUFFLES_END_WITH_JOB
 from conftest import SF_DIR
 
 # --- quality ----------------------------------------------------------------
@@ -208,3 +211,17 @@ def test_random_pages_give_their_articles():
     for _ in range(300):
         page, blocks = random_page(rng)
         assert main_text(page).split("\n\n") == blocks
+
+
+def test_a_stored_step_leaves_no_shuffle(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    spark.conf.set(SHUFFLES_END_WITH_JOB, "false")
+    before = shuffles()
+    step = stored(documents(spark, [(i, sentence(i, 9)) for i in range(40)]).groupBy("text").count(), "step")
+    assert spark.conf.get(SHUFFLES_END_WITH_JOB) == "false"
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert step.count() == 40
