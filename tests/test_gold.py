@@ -3,12 +3,13 @@ import hashlib
 
 import pytest
 
+from claimstrata.functions.columns import packed, unpacked
 from claimstrata.operators.gold import build_dim_date, build_dim_diagnosis, build_dim_member, build_fact_claims
 from claimstrata.operators.marts import denials_by_category, monthly_payer, since, star_read
 from claimstrata.plans.bronze import run_bronze
 from claimstrata.plans.gold import run_gold, star_schema
 from claimstrata.plans.silver import SilverOptions, run_silver, silver_rows
-from conftest import cells
+from conftest import cells, plan_of
 
 RUN = dt.datetime(2024, 1, 1)
 OPTIONS = SilverOptions(as_of=dt.date(2001, 6, 30), run_ts=RUN, order_field="ingestion_ts")
@@ -148,3 +149,30 @@ def test_outside_the_catalog(spark, claims, layers):
     run_gold(spark, layers, run_ts=RUN, in_catalog=False)
     assert not spark.catalog.tableExists(layers.table("dim_date"))
     assert spark.read.parquet(layers.path("dim_date")).count() == 1
+
+
+def test_packed_texts_come_back_and_hex_takes_half(spark):
+    texts = [None, "", "0", "00", "0a", "0A", "abc", "zz", "\x01", "é", "d41d8cd98f00b204e9800998ecf8427e", " 0a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", packed("t"))
+    rows = df.select("t", "p", unpacked("p").alias("back")).collect()
+    assert [r["back"] for r in rows] == texts
+    assert len({bytes(r["p"]) for r in rows if r["p"] is not None}) == len(texts) - 1
+    assert len(rows[10]["p"]) == 17
+
+
+def test_keys_of_star_reads_travel_as_bytes(spark, silver):
+    star = star_schema(silver, RUN)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = star_read(star["fact_claims"], star)
+        got = {r["claim_key"]: r for r in read.collect()}
+        plan = plan_of(read)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    fact = {r["claim_key"]: r for r in star["fact_claims"].collect()}
+    assert len(fact) == 4 and got.keys() == fact.keys()
+    members = {r["member_key"]: r["member_id_hash"] for r in star["dim_member"].collect()}
+    for key, row in got.items():
+        assert all(row[c] == fact[key][c] for c in star["fact_claims"].columns)
+        assert row["member_id_hash"] == members[row["member_key"]] and len(row["provider_id_hash"]) == 64
+    assert "unhex(" in plan and "SortMergeJoin" in plan
