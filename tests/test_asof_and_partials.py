@@ -12,7 +12,9 @@ from claimstrata.plans.bronze import run_bronze
 from claimstrata.plans.gold import star_schema
 from claimstrata.plans.marts import PARTIALS, denials_by_category_of, in_months, monthly_payer_of, refresh_batch, refresh_partials
 from claimstrata.plans.silver import SilverOptions, run_silver
-from conftest import cells
+from conftest import SF_DIR, cells, plan_of
+
+from __spark_entry__ import queries
 
 DAY = dt.date(2001, 5, 1)
 ROWS = "id int, key string, day date"
@@ -163,3 +165,8 @@ def test_rows_are_moved_once_to_their_versions(spark):
     # The rows once, by their key alone; the versions by key and start, then by key.
     by = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan)
     assert len(by) == 3 and sum("__sought" in keys for keys in by) == 1 and not any("day" in keys for keys in by)
+
+
+def test_keys_of_the_star_read_travel_as_bytes(spark):
+    plan = plan_of(queries()["star_read_asof"](spark, SF_DIR))
+    assert all(f"hex(unhex({key}" in plan for key in ("claim_key", "provider_key", "member_key"))
